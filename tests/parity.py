@@ -1,0 +1,54 @@
+"""Comparison of registered queries with their SQL oracles."""
+
+from __future__ import annotations
+
+import datetime as dt
+import glob
+import math
+import os
+from decimal import Decimal
+
+import duckdb
+from pyspark.sql import DataFrame
+
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"create view {name} as select * from read_parquet('{path}')")
+    return con
+
+
+def _value(v: object) -> object:
+    if isinstance(v, float):
+        return None if math.isnan(v) else round(v, 9)
+    if isinstance(v, Decimal):
+        raise AssertionError("decimals must not reach the boundary")
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    return v
+
+
+def normal(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(_value(r[i]) for i in order) for r in rows), key=repr)
+
+
+def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> int:
+    """Assert equal names, types and rows; return the row count."""
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    types = {d[0]: str(d[1]) for d in result.description}
+    expected = normal(names, result.fetchall())
+    actual = normal(df.columns, [tuple(r) for r in df.collect()])
+    assert sorted(df.columns) == sorted(names)
+    spark_types = {name: TYPES[t] for name, t in df.dtypes}
+    assert spark_types == types
+    assert len(actual) == len(expected)
+    for a, e in zip(actual, expected):
+        assert a == e
+    return len(actual)
