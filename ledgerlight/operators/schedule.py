@@ -9,18 +9,27 @@ PERIOD_DAYS = 30
 PERIOD_SECONDS = PERIOD_DAYS * 86_400
 
 
+def period_starts(start: Column, end: Column, step: Column, tick: Column) -> Column:
+    """Array ``start, start + step, ...`` below ``end``, for rows with ``start < end``.
+
+    ``tick`` is the smallest step of the time type and makes the inclusive
+    ``sequence`` stop short of ``end``. Other rows must be filtered out; their
+    bounds are still kept in order, because Spark may evaluate an expression
+    ahead of the filter and ``sequence`` raises on reversed bounds.
+    """
+    return F.sequence(start, F.greatest(start, end - tick), step)
+
+
 def expand_periods(
     subscriptions: DataFrame, start: Column, end: Column, step: Column, tick: Column
 ) -> DataFrame:
-    """One row per period start ``start + n * step < end``, with n from 0.
+    """One row per period start, with ``period_no`` from 0 and ``period_at``.
 
-    Adds ``period_no`` and ``period_at``. ``tick`` is the smallest step of the
-    time type and makes the inclusive ``sequence`` stop short of ``end``. The
-    expansion is per row: no shuffle, and a row's array is bounded by its span.
+    The expansion is per row: no shuffle, and a row's array is bounded by its
+    span. After the filter no array is empty, so the outer form changes nothing;
+    it spares an inferred size() filter that would build every array twice.
     """
-    # sequence() raises on reversed bounds, so empty spans go first. The outer
-    # form changes nothing after that and spares an inferred size() filter
-    # that would build every sequence twice.
+    starts = period_starts(start, end, step, tick)
     return subscriptions.where(start < end).select(
-        "*", F.posexplode_outer(F.sequence(start, end - tick, step)).alias("period_no", "period_at")
+        "*", F.posexplode_outer(starts).alias("period_no", "period_at")
     )

@@ -1,4 +1,9 @@
-"""Charges and invoices implied by subscriptions: one per started 30-day period."""
+"""Charges and invoices implied by subscriptions: one per started 30-day period.
+
+A subscription becomes dozens of rows. ``partitions`` spreads the subscriptions
+over that many tasks first: shuffling them is far cheaper than having each input
+split grow many times over inside one task.
+"""
 
 from __future__ import annotations
 
@@ -11,16 +16,23 @@ from ledgerlight.functions import exprs as X
 from ledgerlight.operators.schedule import PERIOD_DAYS, PERIOD_SECONDS, expand_periods
 
 
-def _payment_periods(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
+def _spread(subscriptions: DataFrame, partitions: int | None) -> DataFrame:
+    return subscriptions if partitions is None else subscriptions.repartition(partitions, "id")
+
+
+def _payment_periods(subscriptions: DataFrame, as_of: dt.date, partitions: int | None) -> DataFrame:
+    billed = subscriptions.select("id", "customer_id", "plan_amount", "plan_currency", "created", "canceled_at")
     # an end of 0 counts as "not canceled", like NULL
     end = F.coalesce(F.nullif(F.col("canceled_at"), F.lit(0)), F.lit(X.epoch_seconds(as_of)))
     step = F.lit(PERIOD_SECONDS).cast("bigint")
-    return expand_periods(subscriptions, F.col("created"), end.cast("bigint"), step, F.lit(1))
+    return expand_periods(
+        _spread(billed, partitions), F.col("created"), end.cast("bigint"), step, F.lit(1)
+    )
 
 
-def invoice_schedule(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
+def invoice_schedule(subscriptions: DataFrame, as_of: dt.date, partitions: int | None = None) -> DataFrame:
     """Invoices of provider subscriptions up to their end, or ``as_of`` while running."""
-    return _payment_periods(subscriptions, as_of).select(
+    return _payment_periods(subscriptions, as_of, partitions).select(
         X.hashed_id("in_", F.col("id"), F.col("period_no")).alias("id"),
         "customer_id",
         F.col("id").alias("subscription_id"),
@@ -33,11 +45,16 @@ def invoice_schedule(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def charge_schedule(subscriptions: DataFrame, as_of: dt.date, status: Column | None = None) -> DataFrame:
-    """Charges on the same schedule. ``status`` may depend on the subscription and
-    ``period_no``; a charge is paid when it succeeded."""
+def charge_schedule(
+    subscriptions: DataFrame,
+    as_of: dt.date,
+    partitions: int | None = None,
+    status: Column | None = None,
+) -> DataFrame:
+    """Charges on the same schedule. ``status`` may depend on the subscription's
+    columns and ``period_no``; a charge is paid when it succeeded."""
     outcome = F.lit("succeeded") if status is None else status
-    return _payment_periods(subscriptions, as_of).select(
+    return _payment_periods(subscriptions, as_of, partitions).select(
         X.hashed_id("ch_", F.col("id"), F.col("period_no")).alias("id"),
         "customer_id",
         F.col("plan_amount").alias("amount"),
@@ -49,14 +66,15 @@ def charge_schedule(subscriptions: DataFrame, as_of: dt.date, status: Column | N
     )
 
 
-def operational_charges(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
+def operational_charges(subscriptions: DataFrame, as_of: dt.date, partitions: int | None = None) -> DataFrame:
     """Charges of the product database's own subscriptions.
 
     Ids are derived from the subscription and the period number, set apart by a
     dash because numeric ids vary in length.
     """
+    billed = subscriptions.select("id", "user_id", "started_at", "canceled_at", "mrr_cents")
     periods = expand_periods(
-        subscriptions.select("id", "user_id", "started_at", "canceled_at", "mrr_cents"),
+        _spread(billed, partitions),
         F.col("started_at"),
         F.coalesce("canceled_at", X.timestamp(as_of)),
         F.expr(f"INTERVAL '{PERIOD_DAYS}' DAY"),

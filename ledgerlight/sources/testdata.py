@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import exprs as X
+from ledgerlight.operators.schedule import period_starts
 from ledgerlight.plans import billing
 from ledgerlight.schemas import TABLES
 from ledgerlight.sources.tables import Sources
@@ -139,15 +140,32 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("synced_at", X.timestamp(FIRST_SYNC))
 
 
+def spread(spark: SparkSession) -> int:
+    """Tasks over which subscriptions are spread before their billing periods multiply them."""
+    return spark.sparkContext.defaultParallelism
+
+
+def stripe_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return billing.operational_charges(subscriptions(spark, sf_dir), AS_OF, spread(spark))
+
+
+def payment_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stamped(billing.charge_schedule(payment_subscriptions(spark, sf_dir), AS_OF, spread(spark)))
+
+
+def payment_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stamped(billing.invoice_schedule(payment_subscriptions(spark, sf_dir), AS_OF, spread(spark)))
+
+
 BUILDERS = {
     "users": users,
     "subscriptions": subscriptions,
     "events": events,
-    "stripe_charges": lambda s, d: billing.operational_charges(subscriptions(s, d), AS_OF),
+    "stripe_charges": stripe_charges,
     "stripe.customers": payment_customers,
     "stripe.subscriptions": payment_subscriptions,
-    "stripe.charges": lambda s, d: _stamped(billing.charge_schedule(payment_subscriptions(s, d), AS_OF)),
-    "stripe.invoices": lambda s, d: _stamped(billing.invoice_schedule(payment_subscriptions(s, d), AS_OF)),
+    "stripe.charges": payment_charges,
+    "stripe.invoices": payment_invoices,
 }
 
 
@@ -221,7 +239,8 @@ def _schedule(subs: DataFrame) -> DataFrame:
     """Subscriptions with the array of their period starts."""
     end = F.coalesce("canceled_at", F.lit(X.epoch_seconds(AS_OF)).cast("bigint"))
     step = F.lit(billing.PERIOD_SECONDS).cast("bigint")
-    return subs.where(F.col("created") < end).withColumn("starts", F.sequence("created", end - 1, step))
+    starts = period_starts(F.col("created"), end, step, F.lit(1))
+    return subs.where(F.col("created") < end).withColumn("starts", starts)
 
 
 def _charge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +259,7 @@ def _charge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.col("id").alias("subscription_id"), F.col("plan_id").alias("plan")).alias("metadata"),
         )
 
-    billed = _schedule(payment_subscriptions(spark, sf_dir))
+    billed = _schedule(payment_subscriptions(spark, sf_dir).repartition(spread(spark), "id"))
     return billed.select(*_page("charges", F.col("id"), F.transform("starts", record)))
 
 
@@ -262,7 +281,7 @@ def _invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             (start + billing.PERIOD_SECONDS).alias("period_end"),
         )
 
-    billed = _schedule(payment_subscriptions(spark, sf_dir))
+    billed = _schedule(payment_subscriptions(spark, sf_dir).repartition(spread(spark), "id"))
     return billed.select(*_page("invoices", F.col("id"), F.transform("starts", record)))
 
 
