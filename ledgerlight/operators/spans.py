@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN_END = "DATE '9999-12-01'"
@@ -42,55 +42,39 @@ def uncovered_parts(spans: DataFrame, key: str) -> DataFrame:
     )
 
 
-def monthly_deltas(
-    grouped: DataFrame, measures: dict[str, Column], mark_starts: bool = False
-) -> DataFrame:
-    """Plus each measure in ``start_m``, minus it in ``end_m``, one row per month.
+def monthly_changes(grouped: DataFrame, measures: list[str]) -> DataFrame:
+    """Rows (month, is_start, measures): plus at ``start_m``, minus at ``end_m``.
 
     ``grouped`` should already be aggregated to (start_m, end_m, ...): its size
-    is then bounded by the number of month pairs, not by the data.
-    ``mark_starts`` adds ``is_start``, 1 for months in which anything starts.
+    is then bounded by the number of month pairs, not by the data. A period
+    without an end gives a row without a month, which ``monthly_totals`` drops.
     """
-    signs = {"start_m": 1, "end_m": -1}
-    steps = [
-        F.struct(
-            F.col(at).alias("month"),
-            F.lit(int(at == "start_m")).alias("is_start"),
-            *[(c * sign).cast("bigint").alias(name) for name, c in measures.items()],
-        )
-        for at, sign in signs.items()
-    ]
-    sums = [F.sum(f"s.{name}").alias(name) for name in measures]
-    if mark_starts:
-        sums.append(F.max("s.is_start").alias("is_start"))
-    return (
-        grouped.select(F.explode(F.array(*steps)).alias("s"))
-        .where(F.col("s.month").isNotNull())
-        .groupBy("s.month")
-        .agg(*sums)
-    )
-
-
-def distinct_key_deltas(spans: DataFrame, key: str, name: str) -> DataFrame:
-    """Monthly change in the number of distinct active keys."""
-    parts = uncovered_parts(spans, key)
-    grouped = parts.groupBy("start_m", "end_m").agg(F.count(F.lit(1)).alias("parts"))
-    return monthly_deltas(grouped, {name: F.col("parts")})
+    plus, minus = ", ".join(measures), ", ".join(f"-{m}" for m in measures)
+    names = ", ".join(["month", "is_start", *measures])
+    return grouped.selectExpr(f"stack(2, start_m, 1, {plus}, end_m, 0, {minus}) AS ({names})")
 
 
-def add_up(deltas: list[DataFrame], measures: list[str]) -> DataFrame:
-    """Deltas of several measures as one row per month; a missing change is 0."""
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), deltas)
-    return together.groupBy("month").agg(
-        F.max("is_start").alias("is_start"),
-        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures],
-    )
+def distinct_key_changes(spans: DataFrame, key: str, name: str) -> DataFrame:
+    """Monthly changes in the number of distinct active keys."""
+    grouped = uncovered_parts(spans, key).groupBy("start_m", "end_m").agg(F.count(F.lit(1)).alias(name))
+    return monthly_changes(grouped, [name]).drop("is_start")
 
 
-def running_totals(deltas: DataFrame, measures: list[str]) -> DataFrame:
-    """Running sums over months.
+def monthly_totals(changes: list[DataFrame], measures: list[str]) -> DataFrame:
+    """Changes of several measures added up and run forward: one row per month.
 
-    The window has no partition key; its input is one row per month.
+    ``is_start`` is 1 for months in which something starts. The window has no
+    partition key; its input is one row per month.
     """
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), changes)
     upto = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return deltas.select("month", "is_start", *[F.sum(m).over(upto).alias(m) for m in measures])
+    return (
+        together.where(F.col("month").isNotNull())
+        .groupBy("month")
+        .agg(F.max("is_start").alias("is_start"), *[F.sum(m).alias(m) for m in measures])
+        .select(
+            "month",
+            "is_start",
+            *[F.coalesce(F.sum(m).over(upto), F.lit(0)).alias(m) for m in measures],
+        )
+    )

@@ -36,37 +36,43 @@ def mrr_by_month(subscriptions: DataFrame, as_of: dt.date, unique_ids: bool = Tr
         X.month(F.col("started_at")).alias("start_m"),
         X.month(F.col("canceled_at")).alias("end_m"),
     )
-    # canceled in its first month (or before): never active at a month's end
-    lasting = F.col("end_m").isNull() | (F.col("end_m") > F.col("start_m"))
+    # otherwise canceled in its first month or before: never active at a month's end
+    lasting = "(end_m IS NULL OR end_m > start_m)"
 
     # All further steps on subscriptions run on this: month pairs x plans
     grouped = spans.groupBy("start_m", "end_m", "plan").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("subscription_id").alias("ids"),
-        F.count("mrr").alias("amounts"),
-        F.coalesce(F.sum(X.to_cents(F.col("mrr"))), F.lit(0)).alias("cents"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count("subscription_id").alias("known_ids"),
+        F.count("mrr").alias("known_amounts"),
+        F.coalesce(F.sum(X.to_cents(F.col("mrr"))), F.lit(0)).alias("sum_cents"),
     )
-    live = F.when(lasting, F.lit(1)).otherwise(F.lit(0))
-    measures = {m: F.col(m) * live for m in ("n", "ids", "amounts", "cents")}
+    measures = {
+        "n": f"if({lasting}, rows, 0)",
+        "ids": f"if({lasting}, known_ids, 0)",
+        "amounts": f"if({lasting}, known_amounts, 0)",
+        "cents": f"if({lasting}, sum_cents, 0)",
+    }
     for plan in PLANS:
-        here = F.when(F.col("plan") == plan, live).otherwise(F.lit(0))
-        measures[f"cents_{plan}"] = F.col("cents") * here
-        measures[f"missing_{plan}"] = (F.col("n") - F.col("amounts")) * here
+        here = f"{lasting} AND plan = '{plan}'"
+        measures[f"cents_{plan}"] = f"if({here}, sum_cents, 0)"
+        measures[f"missing_{plan}"] = f"if({here}, rows - known_amounts, 0)"
     if not unique_ids:
         del measures["ids"]
-
-    changes = S.monthly_deltas(grouped, measures, mark_starts=True)
-    customers = S.distinct_key_deltas(spans.where(lasting), "user_id", "customers")
-    parts = [changes, customers]
+    measured = grouped.selectExpr("start_m", "end_m", *[f"{e} AS {m}" for m, e in measures.items()])
+
+    lasting_spans = spans.where(lasting)
+    changes = [
+        S.monthly_changes(measured, [*measures]),
+        S.distinct_key_changes(lasting_spans, "user_id", "customers"),
+        subscriptions.sparkSession.range(0, 1, 1, 1).select(
+            F.trunc(F.lit(X.as_date(as_of)), "month").alias("month"), F.lit(1).alias("is_start")
+        ),
+    ]
+    running = [*measures, "customers"]
     if not unique_ids:
-        parts.append(S.distinct_key_deltas(spans.where(lasting), "subscription_id", "ids"))
-    session = subscriptions.sparkSession
-    this_month = session.range(1).select(
-        F.trunc(F.lit(X.as_date(as_of)), "month").alias("month"), F.lit(1).alias("is_start")
-    )
-    running = [*measures, "customers"] + ([] if unique_ids else ["ids"])
-    deltas = S.add_up([*parts, this_month], running)
-    totals = S.running_totals(deltas, running)
+        changes.append(S.distinct_key_changes(lasting_spans, "subscription_id", "ids"))
+        running.append("ids")
+    totals = S.monthly_totals(changes, running)
 
     def revenue(cents: str, has_value):
         return F.when(has_value, X.units(F.col(cents), X.MONEY_SUM))

@@ -17,5 +17,7 @@ def local_session(cpus: int | str = "*", app: str = "ledgerlight") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # building a plan otherwise records a call site for every expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
