@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.upsert import merge_by_key, one_row_per_key
+from ledgerlight.operators.upsert import measured_bytes, merge_by_key, one_row_per_key
 from ledgerlight.plans import ingest, kpi, marts, quality, staging
 from ledgerlight.sources import landed
-from ledgerlight.sources.tables import Sources, empty, parquet_sources, path_of, read_table
+from ledgerlight.sources.tables import (
+    Sources,
+    empty,
+    parquet_sources,
+    read_table,
+    save_bucketed,
+    write_table,
+)
 
 STAGING = {
     "stg_users": ("users", staging.stg_users),
@@ -62,25 +70,27 @@ def save_marts(frames: Mapping[str, DataFrame], database: str) -> None:
         df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
 
 
-def merge_pages(
+@contextmanager
+def merged_pages(
     spark: SparkSession,
     pages: DataFrame,
     table: str,
     previous: DataFrame | None,
-    out: str,
     synced_at: dt.datetime,
     on_missing: str = "fail",
     on_duplicate: str = "error",
-) -> None:
-    """Upsert pages of one list over ``previous`` into a new stored table at ``out``."""
-    spec = ingest.MERGES[table]
+) -> Iterator[DataFrame]:
+    """The table after upserting pages of one list over ``previous`` (None: no rows yet).
+
+    The batch is kept on disk for the duration of the block, because its
+    measured size decides how the merge joins; a lost block is computed again.
+    """
     target = empty(spark, f"stripe.{table}") if previous is None else previous
+    spec = ingest.MERGES[table]
     rows = ingest.flatten(landed.records(pages), table, on_missing, keep_order=True)
     batch = one_row_per_key(rows, spec, ingest.ORDER, on_duplicate).persist(StorageLevel.DISK_ONLY)
     try:
-        # the count decides whether the batch is small enough to broadcast
-        merged = merge_by_key(target, batch, spec, synced_at, batch_rows=batch.count())
-        merged.write.mode("overwrite").parquet(path_of(out, f"stripe.{table}"))
+        yield merge_by_key(target, batch, spec, synced_at, measured_bytes(batch))
     finally:
         batch.unpersist()
 
@@ -105,8 +115,37 @@ def sync_payments(
         raise ValueError("write to a new directory, not over the previous tables")
     for table in PAYMENT_LISTS:
         pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line)
-        target = None if previous is None else read_table(spark, previous, f"stripe.{table}")
-        merge_pages(spark, pages, table, target, out, synced_at, on_missing, on_duplicate)
+        before = None if previous is None else read_table(spark, previous, f"stripe.{table}")
+        with merged_pages(spark, pages, table, before, synced_at, on_missing, on_duplicate) as merged:
+            write_table(merged, out, f"stripe.{table}")
+
+
+def sync_payment_tables(
+    spark: SparkSession,
+    landed_dir: str,
+    database: str,
+    run_id: str,
+    synced_at: dt.datetime,
+    buckets: int,
+    previous_run: str | None = None,
+    on_missing: str = "fail",
+    on_duplicate: str = "error",
+    page_per_line: bool = False,
+) -> None:
+    """The same sync over catalog tables bucketed by id, so a large target is never shuffled.
+
+    Each run writes ``<table>_<run_id>`` and then points the view ``<table>`` at
+    it. Repeating a run with the same ids replaces its own tables only.
+    """
+    if previous_run == run_id:
+        raise ValueError("a run cannot build on itself")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for table in PAYMENT_LISTS:
+        pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line)
+        before = None if previous_run is None else spark.table(f"{database}.{table}_{previous_run}")
+        with merged_pages(spark, pages, table, before, synced_at, on_missing, on_duplicate) as merged:
+            save_bucketed(merged, f"{database}.{table}_{run_id}", "id", buckets)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{table}_{run_id}")
 
 
 def run(

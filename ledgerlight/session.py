@@ -8,9 +8,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", app: str = "ledgerlight") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", app: str = "ledgerlight", conf: dict[str, str] | None = None
+) -> SparkSession:
     partitions = "8" if cpus == "*" else str(cpus)
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", partitions)
@@ -19,5 +21,7 @@ def local_session(cpus: int | str = "*", app: str = "ledgerlight") -> SparkSessi
         .config("spark.ui.enabled", "false")
         # building a plan otherwise records a call site for every expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()

@@ -123,3 +123,12 @@ def write_events_by_day(events: DataFrame, base: str, mode: str = "overwrite") -
     """Store events in one directory per day, so that date filters skip files."""
     dated = events.withColumn("event_date", F.to_date("created_at"))
     write_table(dated, base, "events", mode, partition_by="event_date")
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """Replace a catalog table bucketed and sorted by ``key``.
+
+    Joins on the key read it without a shuffle, and a result that is already
+    partitioned that way is written as one file per bucket.
+    """
+    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)

@@ -1,0 +1,71 @@
+"""Small hand-made tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerlight.schemas import TABLES
+
+AS_OF = dt.date(2024, 6, 15)
+
+
+def ts(text: str | None) -> dt.datetime | None:
+    return None if text is None else dt.datetime.fromisoformat(text)
+
+
+def epoch(text: str | None) -> int | None:
+    return None if text is None else int(ts(text).replace(tzinfo=dt.timezone.utc).timestamp())
+
+
+def users(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(id, email, created_at, activated_at, plan)"""
+    full = [(i, e, f"name {i}", "co", ts(c), ts(a), p) for i, e, c, a, p in rows]
+    return spark.createDataFrame(full, TABLES["users"])
+
+
+def subscriptions(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(id, user_id, plan, status, mrr_cents, started_at, canceled_at)"""
+    full = [(i, u, f"sub_{i}", p, st, m, ts(s), ts(c), ts(s)) for i, u, p, st, m, s, c in rows]
+    return spark.createDataFrame(full, TABLES["subscriptions"])
+
+
+def events(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(id, user_id, created_at)"""
+    full = [(i, u, "login", '{"source": "web"}', ts(c)) for i, u, c in rows]
+    return spark.createDataFrame(full, TABLES["events"])
+
+
+def payment_customers(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(id, email)"""
+    full = [(i, e, f"name {i}", 1704067200, "usd", None, None, ts("2024-01-01")) for i, e in rows]
+    return spark.createDataFrame(full, TABLES["stripe.customers"])
+
+
+def payment_subscriptions(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(id, customer_id, status, plan_amount, created, canceled_at)"""
+    full = [
+        (i, c, st, "starter", a, "usd", "month", epoch(s), epoch(e), ts("2024-01-01")) for i, c, st, a, s, e in rows
+    ]
+    return spark.createDataFrame(full, TABLES["stripe.subscriptions"])
+
+
+USERS = [
+    (1, "Ann@X.com", "2024-01-01 00:00", "2024-01-03 12:00", "starter"),
+    (2, "bob@x.com", "2024-01-01 05:00", None, None),
+    (3, "cy@x.com", "2024-01-02 00:00", "2024-01-02 23:00", "enterprise"),
+    (4, "dee@x.com", "2024-01-03 00:00", None, "starter"),
+]
+SUBSCRIPTIONS = [
+    (10, 1, "starter", "active", 2900, "2024-01-15", None),
+    (11, 1, "enterprise", "active", 29900, "2024-03-05", None),
+    (12, 3, "professional", "canceled", 9900, "2024-01-20", "2024-01-30"),
+    (13, 3, "legacy", "canceled", 1900, "2024-01-10", "2024-05-02"),
+    (14, 2, "starter", "trialing", None, None, None),
+]
+EVENTS = (
+    [(100 + d, 1, f"2024-02-{d + 1:02d} 10:00") for d in range(20)]
+    + [(200 + d, 3, f"2024-02-{d + 1:02d} 11:00") for d in range(5)]
+    + [(300, 2, "2024-02-01 12:00")]
+)
