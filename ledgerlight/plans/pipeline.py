@@ -10,12 +10,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.functions import exprs as X
 from ledgerlight.operators.upsert import measured_bytes, merge_by_key, one_row_per_key
 from ledgerlight.plans import ingest, kpi, marts, quality, staging
 from ledgerlight.sources import landed
 from ledgerlight.sources.tables import (
     Sources,
-    empty,
+    conform,
     parquet_sources,
     read_table,
     save_bucketed,
@@ -72,7 +73,6 @@ def save_marts(frames: Mapping[str, DataFrame], database: str) -> None:
 
 @contextmanager
 def merged_pages(
-    spark: SparkSession,
     pages: DataFrame,
     table: str,
     previous: DataFrame | None,
@@ -82,15 +82,19 @@ def merged_pages(
 ) -> Iterator[DataFrame]:
     """The table after upserting pages of one list over ``previous`` (None: no rows yet).
 
-    The batch is kept on disk for the duration of the block, because its
-    measured size decides how the merge joins; a lost block is computed again.
+    A first sync is the batch itself. Otherwise the batch is kept on disk for
+    the duration of the block, because its measured size decides how the merge
+    joins; a lost block is computed again.
     """
-    target = empty(spark, f"stripe.{table}") if previous is None else previous
     spec = ingest.MERGES[table]
     rows = ingest.flatten(landed.records(pages), table, on_missing, keep_order=True)
-    batch = one_row_per_key(rows, spec, ingest.ORDER, on_duplicate).persist(StorageLevel.DISK_ONLY)
+    batch = one_row_per_key(rows, spec, ingest.ORDER, on_duplicate)
+    if previous is None:
+        yield conform(batch.withColumn(spec.touch, X.timestamp(synced_at)), f"stripe.{table}")
+        return
+    batch = batch.persist(StorageLevel.DISK_ONLY)
     try:
-        yield merge_by_key(target, batch, spec, synced_at, measured_bytes(batch))
+        yield merge_by_key(previous, batch, spec, synced_at, measured_bytes(batch))
     finally:
         batch.unpersist()
 
@@ -116,7 +120,7 @@ def sync_payments(
     for table in PAYMENT_LISTS:
         pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line)
         before = None if previous is None else read_table(spark, previous, f"stripe.{table}")
-        with merged_pages(spark, pages, table, before, synced_at, on_missing, on_duplicate) as merged:
+        with merged_pages(pages, table, before, synced_at, on_missing, on_duplicate) as merged:
             write_table(merged, out, f"stripe.{table}")
 
 
@@ -143,7 +147,7 @@ def sync_payment_tables(
     for table in PAYMENT_LISTS:
         pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line)
         before = None if previous_run is None else spark.table(f"{database}.{table}_{previous_run}")
-        with merged_pages(spark, pages, table, before, synced_at, on_missing, on_duplicate) as merged:
+        with merged_pages(pages, table, before, synced_at, on_missing, on_duplicate) as merged:
             save_bucketed(merged, f"{database}.{table}_{run_id}", "id", buckets)
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{table}_{run_id}")
 

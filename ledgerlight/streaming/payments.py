@@ -55,7 +55,7 @@ def sync_stream(
     def merge_batch(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         before = read_table(session, snapshot(snapshots, epoch - 1), name) if epoch > 0 else None
-        with merged_pages(session, batch, table, before, synced_at, on_missing, on_duplicate) as merged:
+        with merged_pages(batch, table, before, synced_at, on_missing, on_duplicate) as merged:
             write_table(merged, snapshot(snapshots, epoch), name)
         # in the caller's session: the stream runs in a copy of it
         read_table(spark, snapshot(snapshots, epoch), name).createOrReplaceTempView(f"stripe_{table}")

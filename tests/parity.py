@@ -25,7 +25,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _value(v: object) -> object:
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+        return None if math.isnan(v) else v
     if isinstance(v, Decimal):
         raise AssertionError("decimals must not reach the boundary")
     if isinstance(v, dt.datetime):
