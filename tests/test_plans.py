@@ -135,11 +135,49 @@ def test_hot_user_reaches_the_reducer_as_days(spark):
     assert result[1] == tuple(expected)
 
 
+def skewed_small_partitions(spark):
+    """Settings under which these small inputs count as large and skewed."""
+    return settings(
+        spark,
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+    )
+
+
+def test_hot_email_is_split_by_the_skew_join(spark):
+    """A third of the payment customers share the email of one user."""
+    n = 60_000
+    customers = spark.range(0, n, 1, 16).select(
+        F.concat(F.lit("cus_"), "id").alias("id"),
+        F.when(F.col("id") % 3 == 0, "U0@x").otherwise(F.concat(F.lit("u"), "id", F.lit("@x"))).alias("email"),
+        F.lit("n").alias("name"), F.lit(1704067200).cast("bigint").alias("created"), F.lit("usd").alias("currency"),
+        F.lit(None).cast("string").alias("company"), F.lit(None).cast("string").alias("industry"),
+    )
+    users = R.users(spark, [(k, f"u{k}@x", "2024-01-01", None, None) for k in range(1000)])
+    paid = [(f"sub_{k}", f"cus_{k}", "active", 1, "2024-01-02", None) for k in range(900)]
+    subs = R.payment_subscriptions(spark, paid)
+    with skewed_small_partitions(spark):
+        out = marts.revenue_attribution(
+            staging.stg_users(users),
+            staging.stg_stripe_customers(customers),
+            staging.stg_stripe_subscriptions(subs),
+            R.AS_OF,
+        )
+        found = {r.stripe_subscription_id: r.user_id for r in out.collect()}
+        assert "skew=true" in plan(out)
+    assert found == {f"sub_{k}": 0 if k % 3 == 0 else k for k in range(900)}
+
+
 def test_hot_customer_is_split_by_the_skew_join(spark):
     n = 60_000
     subs = spark.range(0, n, 1, 16).select(
         F.concat(F.lit("sub_"), "id").alias("id"),
-        F.when(F.col("id") % 3 == 0, "cus_0").otherwise(F.concat(F.lit("cus_"), F.col("id") % 1000)).alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, "cus_0")
+        .otherwise(F.concat(F.lit("cus_"), F.col("id") % 1000))
+        .alias("customer_id"),
         F.lit("active").alias("status"), F.lit("starter").alias("plan_id"), F.lit(100).alias("plan_amount"),
         F.lit("usd").alias("plan_currency"), F.lit("month").alias("plan_interval"),
         F.lit(1704067200).cast("bigint").alias("created"), F.lit(None).cast("bigint").alias("canceled_at"),
@@ -147,14 +185,7 @@ def test_hot_customer_is_split_by_the_skew_join(spark):
     )
     customers = R.payment_customers(spark, [(f"cus_{k}", f"u{k}@x") for k in range(1000)])
     users = R.users(spark, [(k, f"U{k}@X", "2024-01-01", None, None) for k in range(1000)])
-    with settings(
-        spark,
-        autoBroadcastJoinThreshold="-1",
-        adaptive__autoBroadcastJoinThreshold="-1",
-        adaptive__advisoryPartitionSizeInBytes="64KB",
-        adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
-        adaptive__skewJoin__skewedPartitionFactor="1.5",
-    ):
+    with skewed_small_partitions(spark):
         out = marts.revenue_attribution(
             staging.stg_users(users),
             staging.stg_stripe_customers(customers),

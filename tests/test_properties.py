@@ -72,9 +72,10 @@ def test_replayed_batches_equal_row_by_row_upserts(spark):
     # a third of the batch is one key
     batch = [row(5 if rnd.random() < 0.33 else rnd.randint(30, 90)) for _ in range(300)]
     now = dt.datetime(2024, 1, 1)
-    old = spark.createDataFrame([(*r, None) for r in target], "id int, plan string, status string, canceled int, synced_at timestamp_ntz")
-    new = spark.createDataFrame([(*r, i // 100, i % 100) for i, r in enumerate(batch)],
-                                "id int, plan string, status string, canceled int, page int, position int")
+    fields = "id int, plan string, status string, canceled int"
+    old = spark.createDataFrame([(*r, None) for r in target], f"{fields}, synced_at timestamp_ntz")
+    placed = [(*r, i // 100, i % 100) for i, r in enumerate(batch)]
+    new = spark.createDataFrame(placed, f"{fields}, page int, position int")
     once = one_row_per_key(new.repartition(7), spec, ("page", "position"), "latest")
     expected = upsert_in_python(target, batch, spec, columns)
     for size in (None, 0):
