@@ -344,6 +344,22 @@ def _kpis() -> dict[str, str]:
         """
         for name, rel in tables.items()
     )
+    limits = {
+        "users": "email 255, name 255, company 255, plan 50",
+        "subscriptions": "stripe_subscription_id 255, plan 50, status 50",
+        "events": "event_name 255",
+        "stripe_charges": "id 255, customer_id 255, status 50",
+        "stripe.customers": "id 255, email 255, name 255, currency 10, company 255, industry 255",
+        "stripe.subscriptions": "id 255, customer_id 255, status 50, plan_id 50, plan_currency 10, plan_interval 20",
+        "stripe.charges": "id 255, customer_id 255, currency 10, status 50, subscription_id 255",
+        "stripe.invoices": "id 255, customer_id 255, subscription_id 255, status 50",
+    }
+    lengths = " union all ".join(
+        f"select 'max_length', '{name}', '{column}', "
+        f"(select count(*) from {tables[name]} where length({column}) > {limit})"
+        for name, text in limits.items()
+        for column, limit in (part.split() for part in text.split(", "))
+    )
     orphans = " union all ".join(
         f"""
         select 'foreign_key', '{name}', 'user_id',
@@ -379,7 +395,7 @@ def _kpis() -> dict[str, str]:
                                       group by email having count(*) > 1))
         union all select 'not_null', 'users', 'email', (select count(*) from src_users where email is null)
         union all select 'not_null', 'users', 'created_at', (select count(*) from src_users where created_at is null)
-        union all {orphans} union all {required})
+        union all {lengths} union all {orphans} union all {required})
         """
     kpi = """
         select (select count(*) from src_users) as total_users,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -152,23 +152,25 @@ def sync_payment_tables(
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{table}_{run_id}")
 
 
+def stored_sources(spark: SparkSession, operational: str, payments: str) -> Sources:
+    """The product tables under one directory and the last sync's tables under another."""
+    return {
+        **parquet_sources(spark, operational, OPERATIONAL),
+        **parquet_sources(spark, payments, [f"stripe.{t}" for t in PAYMENT_LISTS]),
+    }
+
+
 def run(
     spark: SparkSession,
-    operational: str,
-    payments: str,
+    sources: Sources,
     out: str,
     as_of: dt.date,
+    only: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Build and store everything from parquet tables.
+    """Build and store the quality report, the marts and the KPIs (or ``only`` some of the last two).
 
-    ``operational`` and ``payments`` are the directories of the product tables
-    and of the last sync. Stores the quality report, the KPIs and the marts
-    under ``out``; returns the stored marts and registers the staging views.
+    Registers the staging views; returns what was stored, read back from ``out``.
     """
-    sources = {
-        **parquet_sources(spark, operational, OPERATIONAL),
-        **parquet_sources(spark, payments, [f"stripe.{t}" for t in PAYMENT_LISTS]),
-    }
     quality.data_quality(sources).write.mode("overwrite").parquet(f"{out}/data_quality")
     report = spark.read.parquet(f"{out}/data_quality")
     repeated = report.where(
@@ -178,5 +180,10 @@ def run(
     register_views(staged)
     frames = build_marts(staged, as_of, unique_ids=repeated.isEmpty())
     frames["kpi_summary"] = kpi.kpi_summary(sources)
+    if only is not None:
+        unknown = set(only) - set(frames)
+        if unknown:
+            raise ValueError(f"no such table: {', '.join(sorted(unknown))}")
+        frames = {name: df for name, df in frames.items() if name in only}
     write_marts(frames, out)
     return {name: spark.read.parquet(f"{out}/{name}") for name in frames}

@@ -180,7 +180,7 @@ def violations(df):
 def test_quality_of_good_tables(spark):
     found = violations(quality.data_quality(operational(spark)))
     assert {k: v for k, v in found.items() if v} == {("not_empty", "stripe_charges", "*"): 1}
-    assert len(found) == 4 * 3 + 2 + 1 + 2
+    assert len(found) == 4 * 3 + 2 + 1 + (4 + 3 + 1 + 3) + 2
 
 
 def test_quality_finds_violations(spark):
@@ -188,7 +188,7 @@ def test_quality_finds_violations(spark):
         "users": R.users(
             spark,
             [*R.USERS, (1, "ann@x.com", None, None, None), (None, "bob@x.com", "2024-01-01", None, None),
-             (7, None, "2024-01-01", None, None), (8, None, "2024-01-01", None, None)],
+             (7, None, "2024-01-01", None, None), (8, None, "2024-01-01", None, "p" * 51)],
         ),
         "events": R.events(spark, [*R.EVENTS, (1, 99, None), (2, 99, None), (3, None, None)]),
     }
@@ -199,6 +199,7 @@ def test_quality_finds_violations(spark):
         ("unique", "users", "email"): 1,  # bob; Ann differs by case
         ("not_null", "users", "email"): 2,
         ("not_null", "users", "created_at"): 1,
+        ("max_length", "users", "plan"): 1,
         ("foreign_key", "events", "user_id"): 2,
     }
 

@@ -219,7 +219,8 @@ def test_pipeline_stores_the_marts_and_reruns_to_the_same_tables(spark, tmp_path
     def contents(frames):
         return {name: sorted(map(repr, df.collect())) for name, df in frames.items()}
 
-    first = contents(pipeline.run(spark, ops, pay, out, R.AS_OF))
+    stored = pipeline.stored_sources(spark, ops, pay)
+    first = contents(pipeline.run(spark, stored, out, R.AS_OF))
     assert {name: len(r) for name, r in first.items()} == {
         "fct_mrr_by_month": 3,
         "fct_user_metrics": 4,
@@ -227,7 +228,10 @@ def test_pipeline_stores_the_marts_and_reruns_to_the_same_tables(spark, tmp_path
         "fct_revenue_attribution": 1,
         "kpi_summary": 1,
     }
-    assert contents(pipeline.run(spark, ops, pay, out, R.AS_OF)) == first
+    assert contents(pipeline.run(spark, stored, out, R.AS_OF)) == first
+    assert set(pipeline.run(spark, stored, out, R.AS_OF, only=["kpi_summary"])) == {"kpi_summary"}
+    with pytest.raises(ValueError):
+        pipeline.run(spark, stored, out, R.AS_OF, only=["fct_nothing"])
     assert spark.sql("SELECT count(*) FROM stg_users WHERE is_activated").first()[0] == 2
     assert spark.read.parquet(f"{out}/data_quality").count() > 0
 
