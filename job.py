@@ -42,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
     build = commands.add_parser("build", help="store the quality report, the marts and the KPIs")
     build.add_argument("--out", required=True)
     build.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
-    build.add_argument("--only", nargs="+")
+    build.add_argument("--only", nargs="+", choices=pipeline.STORED, default=pipeline.STORED)
     counts = commands.add_parser("counts", help="print the row count of every table")
     for sub in (build, counts):
         sub.add_argument("--operational", required=True)

@@ -31,6 +31,13 @@ STAGING = {
     "stg_stripe_subscriptions": ("stripe.subscriptions", staging.stg_stripe_subscriptions),
 }
 OPERATIONAL = ("users", "subscriptions", "events", "stripe_charges")
+STORED = (
+    "fct_mrr_by_month",
+    "fct_user_metrics",
+    "fct_activation_funnel",
+    "fct_revenue_attribution",
+    "kpi_summary",
+)
 PAYMENT_LISTS = ("customers", "subscriptions", "charges", "invoices")
 
 
@@ -165,12 +172,15 @@ def run(
     sources: Sources,
     out: str,
     as_of: dt.date,
-    only: Collection[str] | None = None,
+    only: Collection[str] = STORED,
 ) -> dict[str, DataFrame]:
-    """Build and store the quality report, the marts and the KPIs (or ``only`` some of the last two).
+    """Build and store the quality report, and the marts and KPIs named in ``only``.
 
     Registers the staging views; returns what was stored, read back from ``out``.
     """
+    unknown = sorted(set(only) - set(STORED))
+    if unknown:
+        raise ValueError(f"no such table: {', '.join(unknown)}")
     quality.data_quality(sources).write.mode("overwrite").parquet(f"{out}/data_quality")
     report = spark.read.parquet(f"{out}/data_quality")
     repeated = report.where(
@@ -180,10 +190,5 @@ def run(
     register_views(staged)
     frames = build_marts(staged, as_of, unique_ids=repeated.isEmpty())
     frames["kpi_summary"] = kpi.kpi_summary(sources)
-    if only is not None:
-        unknown = set(only) - set(frames)
-        if unknown:
-            raise ValueError(f"no such table: {', '.join(sorted(unknown))}")
-        frames = {name: df for name, df in frames.items() if name in only}
-    write_marts(frames, out)
-    return {name: spark.read.parquet(f"{out}/{name}") for name in frames}
+    write_marts({name: frames[name] for name in only}, out)
+    return {name: spark.read.parquet(f"{out}/{name}") for name in only}
