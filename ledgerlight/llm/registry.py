@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import secrets
+from ledgerlight.llm import bpe, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +20,15 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
 
 
+def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.report(table(spark, sf_dir, "documents"), bpe.load_merges(vocabulary, public_tokenizers.PATTERN))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _over("documents", secrets.report),
+        "op6_byte_bpe": _byte_bpe,
     }
 
 
