@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import bpe, secrets
+from ledgerlight.llm import bpe, near_dedup, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _over("documents", secrets.report),
         "op6_byte_bpe": _byte_bpe,
+        "op9_near_dedup": _over("documents", near_dedup.groups),
     }
 
 
