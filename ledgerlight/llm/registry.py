@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import bpe, near_dedup, secrets
+from ledgerlight.llm import bpe, exact_topk, hnsw, near_dedup, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,10 +28,12 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _over("documents", secrets.report),
+        "op4_nearest_neighbours": _over("embeddings", hnsw.report),
         "op6_byte_bpe": _byte_bpe,
+        "op8_exact_top_k": _over("embeddings", exact_topk.report),
         "op9_near_dedup": _over("documents", near_dedup.groups),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secrets.oracle()}
+    return {"op1_secret_scan": secrets.oracle(), "op8_exact_top_k": exact_topk.oracle()}
