@@ -10,12 +10,14 @@
    by the pigeonhole principle, a chunk with at most DISTANCE // CHUNKS = 1
    error; leaving out each place of a chunk in turn enumerates that error. So
    every pair within the distance shares a key, with no exception.
-4. Keys of one class go no further. In each other key, every class is first held
-   against the key's smallest one, and the pairs that are linked are joined into
-   components. What is left, pairs in different components that share a key
-   and are within the distance, is then confirmed too. Pairs already
-   connected need no test, since no link can change their component. So a hot
-   group of copies costs a pair for each member, not all pairs.
+4. Keys of one class go no further. Every other class is first held against the
+   nearest of the smallest classes of its keys, and the pairs that are linked are
+   joined into components. What is left, pairs in different components that share a
+   key and are within the distance, is then confirmed too. Pairs already connected
+   need no test, since no link can change their component. So a hot group of
+   copies costs a pair for each member, not all pairs. Of the rest, the shingles
+   that a class shares with no other bound its similarity to all of them, so that
+   copies with too many changes drop out without a partner being looked at.
 5. A pair is linked when the intersection of the full sets is at least
    ``similarity`` percent of the union.
 
@@ -137,19 +139,30 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast(LongType()).alias("id"), "text").mapInArrow(run, "id long, hashes array<long>")
 
 
-def _near(a: str, b: str) -> Column:
-    """Whether the compared bits of two signatures differ in at most DISTANCE places."""
+def _distance(a: str, b: str) -> Column:
+    """In how many places the compared bits of two signatures differ; never more than the signatures do."""
     differ = F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))
     for i in range(1, SLICES):
         differ = differ.bitwiseOR(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}")))
-    return F.bit_count(differ) <= DISTANCE
+    return F.bit_count(differ)
 
 
 def _within_distance(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     slices = [f"s{i}" for i in range(SLICES)]
-    a = classes.select(F.col("id").alias("a"), "n_shingles", F.struct(*slices).alias("x"))
+    a = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.struct(*slices).alias("x"))
     b = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.struct(*slices).alias("y"))
-    return pairs.join(a, "a").join(b, "b").where(_near("x", "y")).select("a", "b", F.col("n_shingles").alias("n_a"), "n_b")
+    near = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", _distance("x", "y").alias("distance"))
+    return near.where(F.col("distance") <= DISTANCE)
+
+
+def _alone(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, alone): how many shingles each of these classes shares with no other of them."""
+    sets = _sets(docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"))
+    holders = sets.select("id", F.explode("hashes").alias("hash")).groupBy("hash").agg(
+        F.min("id").alias("id"), F.max("id").alias("last")
+    )
+    single = holders.where("id = last").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    return ids.join(single, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
@@ -187,27 +200,39 @@ def groups(docs: DataFrame, similarity: int = 85) -> DataFrame:
     busy = keyed.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
     members = shared.cut(keyed.join(busy.select("key", "lead"), "key"))
 
+    # Each class is first held against the nearest of its keys' smallest classes.
     first = members.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _linked(_within_distance(first, classes), docs, similarity)
-    links = shared.cut(links)
+    first = _within_distance(first, classes).groupBy("b").agg(
+        F.min(F.struct("distance", "a", "n_a", "n_b")).alias("r")
+    )
+    links = shared.cut(_linked(first.select("r.a", "b", "r.n_a", "r.n_b"), docs, similarity))
     known = shared.components(links)
 
-    # Pairs that share a key but no component yet, other than those tested above.
-    placed = members.join(known, "id", "left").select("key", "lead", "id", F.coalesce("component", "id").alias("component"))
+    # Pairs that share a key but no component yet.
+    placed = members.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_keys = open_keys.where("low < high").select("key")
-    signed = classes.select("id", F.struct(*slices).alias("sign"))
-    placed = placed.join(open_keys, "key", "left_semi").join(signed, "id")
-    a, b = placed.where("id > lead").alias("a"), placed.where("id > lead").alias("b")
+    placed = shared.cut(placed.join(open_keys.where("low < high").select("key"), "key", "left_semi"))
+    alone = _alone(placed.select("id").distinct(), docs)
+    signed = classes.join(alone, "id").select("id", "n_shingles", "alone", F.struct(*slices).alias("sign"))
+    # What no other class has cannot be in an intersection, and is in every union.
+    signed = signed.where(100 * (F.col("n_shingles") - F.col("alone")) >= similarity * F.col("n_shingles"))
+    placed = placed.join(signed, "id")
+    a, b = placed.alias("a"), placed.alias("b")
+    most = lambda x, y: 100 * (F.col(f"{x}.n_shingles") - F.col(f"{x}.alone")) >= similarity * (
+        F.col(f"{x}.n_shingles") + F.col(f"{y}.alone")
+    )
     rest = a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.id") < F.col("b.id"))
         & (F.col("a.component") != F.col("b.component"))
-        & _near("a.sign", "b.sign"),
-    ).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    more = _linked(_within_distance(rest, classes), docs, similarity)
-    final = shared.components(links.union(more))
+        & most("a", "b")
+        & most("b", "a")
+        & (_distance("a.sign", "b.sign") <= DISTANCE),
+    ).select(
+        F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n_shingles").alias("n_a"), F.col("b.n_shingles").alias("n_b")
+    ).distinct()
+    final = shared.components(links.union(_linked(rest, docs, similarity)))
 
     component = classes.join(final, "id", "left").select(
         *kinds, F.coalesce("component", "id").alias("component_id")
