@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import bpe, exact_topk, hnsw, near_dedup, secrets
+from ledgerlight.llm import bpe, exact_topk, hnsw, near_dedup, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
 
 
+def _learned(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.report(table(spark, sf_dir, "documents"), bpe.load_merges(vocabulary, public_tokenizers.PATTERN))
@@ -28,10 +32,12 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _over("documents", secrets.report),
+        "op2_quality": _learned(quality.report),
         "op4_nearest_neighbours": _over("embeddings", hnsw.report),
         "op6_byte_bpe": _byte_bpe,
         "op8_exact_top_k": _over("embeddings", exact_topk.report),
         "op9_near_dedup": _over("documents", near_dedup.groups),
+        "op10_toxicity": _learned(toxicity.report),
     }
 
 
