@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import bpe, exact_topk, hnsw, near_dedup, quality, secrets, toxicity
+from ledgerlight.llm import bpe, exact_topk, hnsw, mixing, near_dedup, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_secret_scan": _over("documents", secrets.report),
         "op2_quality": _learned(quality.report),
+        "op3_mixture": _over("documents", mixing.report),
         "op4_nearest_neighbours": _over("embeddings", hnsw.report),
         "op6_byte_bpe": _byte_bpe,
         "op8_exact_top_k": _over("embeddings", exact_topk.report),
