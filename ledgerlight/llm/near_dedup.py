@@ -16,8 +16,10 @@
    key and are within the distance, is then confirmed too. Pairs already connected
    need no test, since no link can change their component. So a hot group of
    copies costs a pair for each member, not all pairs. Of the rest, the shingles
-   that a class shares with no other bound its similarity to all of them, so that
-   copies with too many changes drop out without a partner being looked at.
+   that a class shares with no other bound its similarity to all of them: copies with
+   too many changes drop out. The others are held against the least changed
+   class of their keys, and what two of them lack of it bounds their similarity.
+   Only pairs that these bounds leave open are confirmed one by one.
 5. A pair is linked when the intersection of the full sets is at least
    ``similarity`` percent of the union.
 
@@ -165,18 +167,27 @@ def _alone(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return ids.join(single, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
-    """Those of the pairs (a, b, n_a, n_b) whose full sets are similar enough."""
-    # Sets of sizes too far apart cannot be.
-    pairs = pairs.where(100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
+def _overlaps(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) with ``common``, the size of the intersection of the full sets."""
     pairs = shared.cut(pairs)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = _sets(docs.join(wanted, "doc_id", "left_semi"))
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
-    common = F.size(F.array_intersect("x", "y")).cast("long")
-    union = F.col("n_a") + F.col("n_b") - common
-    return pairs.join(left, "a").join(right, "b").where(100 * common >= similarity * union).select("a", "b").distinct()
+    common = F.size(F.array_intersect("x", "y")).cast("long").alias("common")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common)
+
+
+def _links(overlaps: DataFrame, similarity: int) -> DataFrame:
+    union = F.col("n_a") + F.col("n_b") - F.col("common")
+    return overlaps.where(100 * F.col("common") >= similarity * union).select("a", "b").distinct()
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
+    """Those of the pairs whose full sets are similar enough."""
+    # Sets of sizes too far apart cannot be.
+    pairs = pairs.where(100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
+    return _links(_overlaps(pairs, docs), similarity)
 
 
 def groups(docs: DataFrame, similarity: int = 85) -> DataFrame:
@@ -208,26 +219,46 @@ def groups(docs: DataFrame, similarity: int = 85) -> DataFrame:
     links = shared.cut(_linked(first.select("r.a", "b", "r.n_a", "r.n_b"), docs, similarity))
     known = shared.components(links)
 
-    # Pairs that share a key but no component yet.
+    # Classes that share a key but no component yet.
     placed = members.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = shared.cut(placed.join(open_keys.where("low < high").select("key"), "key", "left_semi"))
+    placed = placed.join(open_keys.where("low < high").select("key"), "key", "left_semi").select("key", "id")
+    placed = shared.cut(placed)
     alone = _alone(placed.select("id").distinct(), docs)
     signed = classes.join(alone, "id").select("id", "n_shingles", "alone", F.struct(*slices).alias("sign"))
     # What no other class has cannot be in an intersection, and is in every union.
     signed = signed.where(100 * (F.col("n_shingles") - F.col("alone")) >= similarity * F.col("n_shingles"))
-    placed = placed.join(signed, "id")
+    signed = shared.cut(signed)
+    placed = shared.cut(placed.join(signed, "id").select("key", "id", "alone"))
+
+    # Each is held against the least changed class of its keys.
+    least = placed.groupBy("key").agg(F.min(F.struct("alone", "id")).alias("least"))
+    centre = placed.join(least, "key").groupBy("id").agg(F.min("least").alias("c")).select("id", F.col("c.id").alias("centre"))
+    centre = shared.cut(centre)
+    held = centre.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    held = shared.cut(_overlaps(_within_distance(held, classes).select("a", "b", "n_a", "n_b"), docs))
+    links = shared.cut(links.union(_links(held, similarity)))
+    known = shared.components(links)
+
+    # Pairs left over: in different components, within the distance, and by their own
+    # shingles and what they lack of a centre they share not too far apart.
+    lacking = held.select(F.col("b").alias("id"), F.col("a").alias("centre"), (F.col("n_a") - F.col("common")).alias("lacks"))
+    lacking = lacking.union(centre.where("id = centre").select("id", "centre", F.lit(0).cast("long")))
+    signed = signed.join(lacking, "id", "left").join(known, "id", "left")
+    signed = signed.withColumn("component", F.coalesce("component", "id"))
+    placed = placed.select("key", "id").join(signed, "id")
     a, b = placed.alias("a"), placed.alias("b")
-    most = lambda x, y: 100 * (F.col(f"{x}.n_shingles") - F.col(f"{x}.alone")) >= similarity * (
-        F.col(f"{x}.n_shingles") + F.col(f"{y}.alone")
-    )
+    both = F.col("a.n_shingles") + F.col("b.n_shingles")
+    apart = F.col("a.alone") + F.col("b.alone") + F.when(
+        F.col("a.centre") == F.col("b.centre"), F.abs(F.col("a.lacks") - F.col("b.lacks"))
+    ).otherwise(0)
     rest = a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.id") < F.col("b.id"))
         & (F.col("a.component") != F.col("b.component"))
-        & most("a", "b")
-        & most("b", "a")
+        # Two sets with d elements in but one of them have a similarity of (n - d) / (n + d) for n in both sizes.
+        & (100 * (both - apart) >= similarity * (both + apart))
         & (_distance("a.sign", "b.sign") <= DISTANCE),
     ).select(
         F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n_shingles").alias("n_a"), F.col("b.n_shingles").alias("n_b")
