@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import bpe, exact_topk, hnsw, mixing, near_dedup, quality, secrets, toxicity
+from ledgerlight.llm import bpe, exact_topk, hnsw, mixing, near_dedup, ngram_model, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op3_mixture": _over("documents", mixing.report),
         "op4_nearest_neighbours": _over("embeddings", hnsw.report),
         "op6_byte_bpe": _byte_bpe,
+        "op7_language_model": _over("documents", ngram_model.score),
         "op8_exact_top_k": _over("embeddings", exact_topk.report),
         "op9_near_dedup": _over("documents", near_dedup.groups),
         "op10_toxicity": _learned(toxicity.report),

@@ -1,0 +1,88 @@
+"""Language-model scores against dictionaries, and the Elias-Fano parts against arrays."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from ledgerlight.llm import ngram_model as M
+from ledgerlight.llm import registry
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+END = "\n"
+
+
+def plain(rows):
+    texts = [(i, [*re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER)), END]) for i, t in rows]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
+    training = [t for i, t in texts if not held(i)]
+    c = Counter(w for t in training for w in t)
+    n, v = sum(c.values()), len(c)
+    common = {w for w, k in c.items() if k >= M.SHARE * n} | {None}
+    pairs = Counter((h, w) for t in training for h, w in zip([None, *t], t) if h in common and w in common)
+    follow = Counter({None: c[END], **c})
+    share = {}
+    for (h, w), k in pairs.items():
+        if k >= M.LEAST:
+            share[h, w] = 10.0 ** (-min(round(-math.log10((k - M.DISCOUNT) / follow[h]) * M.STEP), 65535) / M.STEP)
+    taken = Counter()
+    for (h, _), s in share.items():
+        taken[h] += s
+    out = []
+    for i, t in texts:
+        p1 = [(c[w] + 0.1) / (n + 0.1 * (v + 1)) for w in t]
+        full = [
+            (max(1 - taken[h], 1e-12) if h in common else 1.0) * p + (share.get((h, w), 0.0) if h in common else 0.0)
+            for h, w, p in zip([None, *t], t, p1)
+        ]
+        out.append((i, held(i), len(t), sum(c[w] > 0 for w in t), n, sum(map(math.log10, p1)), sum(map(math.log10, full))))
+    return out
+
+
+def same(found, expected):
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2])
+    found, expected = sorted(map(tuple, found), key=key), sorted(expected, key=key)
+    assert [f[:5] for f in found] == [e[:5] for e in expected]
+    assert np.allclose([f[5:] for f in found], [e[5:] for e in expected], rtol=1e-9)
+
+
+@pytest.mark.parametrize("block_bytes", [M.BLOCK_BYTES, 40])
+def test_scores_equal_dictionaries(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(M, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(M, "SHARE", 1 / 40)
+    rows = [(i, " ".join(["The", "cat", "sat", "ÉON", f"w{i % 5}", "the dog\tate"][: i % 7])) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, " \n "), (None, "the cat"), (7, rows[7][1]), (103, "the " * 3000)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, block string")
+    same(M.score(docs).collect(), plain(rows))
+    assert M.score(docs.where("false")).count() == 0
+
+
+def test_query_equals_dictionaries(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in registry.table(spark, sf_dir, "documents").collect()]
+    found = registry.queries()["op7_language_model"](spark, sf_dir).collect()
+    same(found, plain(rows))
+    assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found)
+
+
+def test_elias_fano_and_trie():
+    rng = np.random.default_rng(1)
+    for n, top in [(0, 1), (1, 1), (5, 3), (1000, 10), (3000, 10**9), (500, 2**40)]:
+        values = np.sort(rng.integers(0, top, n))
+        ef = M.EliasFano(M.EliasFano.build(values))
+        assert (ef.get(np.arange(n)) == values).all()
+        targets = rng.integers(0, top + 2, 200)
+        low, high = np.zeros(200, np.int64), np.full(200, n)
+        assert (ef.successor(targets, low, high) == np.searchsorted(values, targets)).all()
+    pairs = sorted({(int(a), int(b)) for a, b in rng.integers(0, 60, (900, 2))})
+    first, second = np.array(pairs).T
+    trie = M.Trie(first, second, np.arange(len(pairs)), 60)
+    asked = rng.integers(0, 60, (2000, 2))
+    known = {p: i for i, p in enumerate(pairs)}
+    assert trie.find(*asked.T).tolist() == [known.get((int(a), int(b)), -1) for a, b in asked]
+    assert trie.find(first, second).tolist() == list(range(len(pairs)))
