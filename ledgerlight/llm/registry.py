@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import bpe, exact_topk, hnsw, mixing, near_dedup, ngram_model, quality, secrets, toxicity
+from ledgerlight.llm import bpe, exact_topk, hnsw, mixing, near_dedup, ngram_model, quality, secrets, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op2_quality": _learned(quality.report),
         "op3_mixture": _over("documents", mixing.report),
         "op4_nearest_neighbours": _over("embeddings", hnsw.report),
+        "op5_suffix_dedup": _over("documents", suffix_dedup.report),
         "op6_byte_bpe": _byte_bpe,
         "op7_language_model": _over("documents", ngram_model.score),
         "op8_exact_top_k": _over("embeddings", exact_topk.report),
