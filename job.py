@@ -1,7 +1,7 @@
 """Jobs for spark-submit.
 
     spark-submit job.py sync   --landed DIR --out DIR [--previous DIR] --at 2024-06-15T00:00:00
-    spark-submit job.py stream --landed DIR --out DIR --at 2024-06-15T00:00:00
+    spark-submit job.py stream --landed DIR --out DIR [--previous DIR] --at 2024-06-15T00:00:00
     spark-submit job.py build  --operational DIR --payments DIR --out DIR --as-of 2024-06-15 [--only NAME ...]
     spark-submit job.py counts --operational DIR --payments DIR
 
@@ -28,8 +28,6 @@ def parser() -> argparse.ArgumentParser:
     commands = root.add_subparsers(dest="command", required=True)
 
     sync = commands.add_parser("sync", help="merge landed pages over the previous payment tables")
-    sync.add_argument("--previous")
-    sync.add_argument("--page-per-line", action="store_true")
     stream = commands.add_parser("stream", help="merge the pages that landed since the last run")
     stream.add_argument("--max-files", type=int)
     for sub, default in ((sync, "error"), (stream, "latest")):
@@ -38,6 +36,9 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--at", type=dt.datetime.fromisoformat, required=True)
         sub.add_argument("--on-missing", choices=["fail", "reject"], default="fail")
         sub.add_argument("--on-duplicate", choices=["error", "latest"], default=default)
+        sub.add_argument("--previous")
+        sub.add_argument("--page-per-line", action="store_true")
+        sub.add_argument("--by-name", action="store_true", help="pages follow each other by name, not by time")
 
     build = commands.add_parser("build", help="store the quality report, the marts and the KPIs")
     build.add_argument("--out", required=True)
@@ -54,15 +55,18 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.getOrCreate()
     if args.command == "sync":
-        pipeline.sync_payments(
+        rejected = pipeline.sync_payments(
             spark, args.landed, args.out, args.at, args.previous, args.on_missing, args.on_duplicate,
-            args.page_per_line,
+            args.page_per_line, args.by_name,
         )
+        for table, count in rejected.items():
+            print(f"{count} records of {table} rejected, kept under {args.out}/rejects/{table}")
     elif args.command == "stream":
         for table in pipeline.PAYMENT_LISTS:
             query = sync_stream(
                 spark, args.landed, table, args.out, args.at, max_files=args.max_files,
-                on_missing=args.on_missing, on_duplicate=args.on_duplicate,
+                on_missing=args.on_missing, on_duplicate=args.on_duplicate, previous=args.previous,
+                page_per_line=args.page_per_line, by_name=args.by_name,
             )
             query.awaitTermination()
     else:

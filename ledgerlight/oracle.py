@@ -7,6 +7,8 @@ changes instead of month × subscription pairs, merges by flags, schedules by
 
 from __future__ import annotations
 
+from ledgerlight.plans.quality import MAX_LENGTH
+
 AS_OF = "date '2001-12-01'"
 AS_OF_EPOCH = 1007164800
 FIRST_SYNC = "timestamp '2000-01-01'"
@@ -318,21 +320,8 @@ def _lists(cursor: str, customer: str) -> dict[str, str]:
     }
 
 
-def _kpis() -> dict[str, str]:
-    tables = {
-        "users": "src_users",
-        "subscriptions": "src_subs",
-        "events": "src_events",
-        "stripe_charges": "src_op_charges",
-        "stripe.customers": "pay_customers",
-        "stripe.subscriptions": "pay_subs",
-        "stripe.charges": "pay_charges",
-        "stripe.invoices": "pay_invoices",
-    }
-    counts = " union all ".join(
-        f"select '{name}' as table_name, count(*) as row_count from {relation}"
-        for name, relation in tables.items()
-    )
+def _constraints(tables: dict[str, str]) -> str:
+    """Rows of all checks of the given tables, by relation."""
     keys = " union all ".join(
         f"""
         select 'unique' as "check", '{name}' as "table", 'id' as "column",
@@ -344,29 +333,44 @@ def _kpis() -> dict[str, str]:
         """
         for name, rel in tables.items()
     )
-    limits = {
-        "users": "email 255, name 255, company 255, plan 50",
-        "subscriptions": "stripe_subscription_id 255, plan 50, status 50",
-        "events": "event_name 255",
-        "stripe_charges": "id 255, customer_id 255, status 50",
-        "stripe.customers": "id 255, email 255, name 255, currency 10, company 255, industry 255",
-        "stripe.subscriptions": "id 255, customer_id 255, status 50, plan_id 50, plan_currency 10, plan_interval 20",
-        "stripe.charges": "id 255, customer_id 255, currency 10, status 50, subscription_id 255",
-        "stripe.invoices": "id 255, customer_id 255, subscription_id 255, status 50",
-    }
+    users = tables["users"]
+    others = f"""
+        select 'unique', 'users', 'email',
+               (select count(*) from (select email from {users} where email is not null
+                                      group by email having count(*) > 1))
+        union all select 'not_null', 'users', 'email', (select count(*) from {users} where email is null)
+        union all select 'not_null', 'users', 'created_at', (select count(*) from {users} where created_at is null)
+        """
     lengths = " union all ".join(
-        f"select 'max_length', '{name}', '{column}', "
-        f"(select count(*) from {tables[name]} where length({column}) > {limit})"
-        for name, text in limits.items()
-        for column, limit in (part.split() for part in text.split(", "))
+        f"select 'max_length', '{name}', '{column}', (select count(*) from {rel} where length({column}) > {limit})"
+        for name, rel in tables.items()
+        for column, limit in MAX_LENGTH[name].items()
     )
     orphans = " union all ".join(
         f"""
         select 'foreign_key', '{name}', 'user_id',
-               (select count(*) from {rel} x where x.user_id is not null
-                and not exists (select 1 from src_users u where u.id = x.user_id))
+               (select count(*) from {tables[name]} x where x.user_id is not null
+                and not exists (select 1 from {users} u where u.id = x.user_id))
         """
-        for name, rel in (("subscriptions", "src_subs"), ("events", "src_events"))
+        for name in ("subscriptions", "events")
+    )
+    return f"{keys} union all {others} union all {lengths} union all {orphans}"
+
+
+def _kpis() -> dict[str, str]:
+    tables = {
+        "users": "src_users",
+        "subscriptions": "src_subs",
+        "events": "src_events",
+        "stripe_charges": "src_op_charges",
+        "stripe.customers": "pay_customers",
+        "stripe.subscriptions": "pay_subs",
+        "stripe.charges": "pay_charges",
+        "stripe.invoices": "pay_invoices",
+    }
+    counts = " union all ".join(
+        f"select '{name}' as table_name, count(*) as row_count from {relation}"
+        for name, relation in tables.items()
     )
     # Only subscription records can lack a field: legacy ones have no plan
     missing = {
@@ -388,14 +392,47 @@ def _kpis() -> dict[str, str]:
         for name, fields in missing.items()
         for field, count in fields.items()
     )
+    finished = " union all ".join(f"select 'finished', 'landed.{name}', '*', 0" for name in missing)
     quality = f"""
-        select "check", "table", "column", violations::bigint as violations from ({keys}
-        union all select 'unique', 'users', 'email',
-               (select count(*) from (select email from src_users where email is not null
-                                      group by email having count(*) > 1))
-        union all select 'not_null', 'users', 'email', (select count(*) from src_users where email is null)
-        union all select 'not_null', 'users', 'created_at', (select count(*) from src_users where created_at is null)
-        union all {lengths} union all {orphans} union all {required})
+        select "check", "table", "column", violations::bigint as violations
+        from ({_constraints(tables)} union all {required} union all {finished})
+        """
+    # The same checks over tables with faults, see testdata.faulty_sources and faulty_pages
+    faulty = {name: f"bad_{name}" for name in ("users", "subscriptions", "events", "stripe_charges")}
+    lacking = " union all ".join(
+        f"select 'required', 'landed.{name}', '{field}', (select count(*) from {table} where {condition})"
+        for name, table, fields in (
+            ("customers", "customer", {"id": "false", "email": "c_custkey % 4 = 0", "name": "c_custkey % 6 = 0",
+                                       "created": "false", "currency": "false"}),
+            ("charges", "orders", {"id": "false", "customer": "o_orderkey % 5 = 0", "amount": "o_orderkey % 7 = 0",
+                                   "currency": "false", "status": "false", "paid": "false", "created": "false"}),
+            ("invoices", "orders", {"id": "false", "customer": "o_orderkey % 5 = 0", "subscription": "false",
+                                    "amount_due": "false", "amount_paid": "o_orderkey % 3 = 0", "status": "false",
+                                    "created": "false", "period_start": "false", "period_end": "false"}),
+        )
+        for field, condition in fields.items()
+    )
+    more = " union all ".join(f"select 'finished', 'landed.{name}', '*', 1" for name in ("customers", "charges", "invoices"))
+    dirty = f"""
+        , twice as (select * from src_users union all select * from src_users where id % 10 = 3),
+        bad_users as (
+          select case when id % 50 <> 7 then id end as id,
+                 case when id % 60 = 5 then null when id % 20 = 0 then 'same@example.com'
+                      when id % 70 = 1 then repeat('e', 300) else email end as email,
+                 case when id % 30 = 1 then repeat('n', 256) else name end as name, company,
+                 case when id % 40 <> 2 then created_at end as created_at, activated_at, plan
+          from twice),
+        bad_subscriptions as (
+          select * replace (case when id % 25 = 0 then user_id + 10000000 else user_id end as user_id,
+                            case when id % 90 = 1 then repeat('s', 51) else status end as status)
+          from src_subs),
+        bad_events as (select * from src_events where false),
+        bad_stripe_charges as (
+          select case when created % 7 = 0 then repeat('c', 260) else id end as id, id as customer_id,
+                 'succeeded' as status
+          from pay_customers)
+        select "check", "table", "column", violations::bigint as violations
+        from ({_constraints(faulty)} union all {lacking} union all {more})
         """
     kpi = """
         select (select count(*) from src_users) as total_users,
@@ -414,6 +451,7 @@ def _kpis() -> dict[str, str]:
         "kpi_summary": _sql(kpi, "src_users", "src_subs", "src_events", "src_op_charges"),
         "table_counts": _sql(counts, *tables.values()),
         "data_quality": _sql(quality, *tables.values()),
+        "data_quality_dirty": _sql(dirty, "src_users", "src_subs", "src_events", "pay_customers"),
     }
 
 
@@ -431,56 +469,91 @@ def _ingest() -> dict[str, str]:
             "from pay_subs where plan_id = 'legacy'",
             "pay_subs",
         ),
+        "ingest_customers_rejects": f"""
+            select {_hash("cus_", "c_custkey::varchar")} as id,
+                   concat_ws(', ', case when c_custkey % 4 = 0 then 'email' end,
+                             case when c_custkey % 6 = 0 then 'name' end) as missing
+            from customer where c_custkey % 4 = 0 or c_custkey % 6 = 0
+            """,
+        "ingest_charges_rejects": f"""
+            select {_hash("x_", "o_orderkey::varchar")} as id,
+                   concat_ws(', ', case when o_orderkey % 5 = 0 then 'customer' end,
+                             case when o_orderkey % 7 = 0 then 'amount' end) as missing
+            from orders where o_orderkey % 5 = 0 or o_orderkey % 7 = 0
+            """,
+        "ingest_invoices_rejects": f"""
+            select {_hash("x_", "o_orderkey::varchar")} as id,
+                   concat_ws(', ', case when o_orderkey % 5 = 0 then 'customer' end,
+                             case when o_orderkey % 3 = 0 then 'amount_paid' end) as missing
+            from orders where o_orderkey % 5 = 0 or o_orderkey % 3 = 0
+            """,
         "ingest_charges": _sql("select * exclude (synced_at) from pay_charges", "pay_charges"),
         "ingest_invoices": _sql("select * exclude (synced_at) from pay_invoices", "pay_invoices"),
     }
 
 
 def _upserts() -> dict[str, str]:
-    """Each statement spells out, per column, what is known before and after."""
+    """Each statement spells out, per column, what is known before and after.
+
+    A row is ``there`` when the first sync knew it and ``again`` when the second one brings it.
+    """
     known = f"created < {FIRST_SYNC_EPOCH}"
-    pending = f"canceled_at >= {FIRST_SYNC_EPOCH}"
+    pending = f"coalesce(canceled_at >= {FIRST_SYNC_EPOCH}, false)"
+    absent, lost = "regexp_matches(id, '[01]$')", "regexp_matches(id, '[23]$')"
+    synced = f"case when again then {SECOND_SYNC} else {FIRST_SYNC} end as synced_at"
     return {
-        # every customer comes again, so all names and emails are the new ones
         "upsert_customers": _sql(
             f"""
-            , early as (select *, created < 1696118400 + 90 * 86400 as was_known from pay_customers)
-            select id, email, name, created, case when was_known then currency else 'eur' end as currency,
-                   case when was_known then company else 'moved' end as company, industry,
-                   {SECOND_SYNC} as synced_at
-            from early
+            , early as (select *, created < 1696118400 + 90 * 86400 as there, not {absent} as again from pay_customers)
+            select id, case when again and {lost} then null else email end as email,
+                   case when again then name else 'Old ' || name end as name, created,
+                   case when there then currency else 'eur' end as currency,
+                   case when there then company else 'moved' end as company, industry, {synced}
+            from early where there or again
             """,
             "pay_customers",
         ),
         "upsert_subscriptions": _sql(
             f"""
-            select id, customer_id, status, plan_id,
-                   case when {known} then plan_amount else plan_amount + 100 end as plan_amount,
-                   plan_currency, plan_interval, created, canceled_at,
-                   case when {known} and not coalesce({pending}, false)
-                        then {FIRST_SYNC} else {SECOND_SYNC} end as synced_at
-            from pay_subs
+            , early as (select *, {known} as there, not ({known}) or {pending} as again from pay_subs)
+            select id, customer_id, case when again and {lost} then null else status end as status, plan_id,
+                   case when there then plan_amount else plan_amount + 100 end as plan_amount,
+                   plan_currency, plan_interval, created, canceled_at, {synced}
+            from early
             """,
             "pay_subs",
         ),
         # paid is not an update column: it stays as first seen
         "upsert_charges": _sql(
             f"""
-            select id, customer_id, case when {known} then amount else amount + 100 end as amount, currency,
-                   status, not ({known}) as paid, created, subscription_id, {SECOND_SYNC} as synced_at
-            from pay_charges
+            , early as (select *, {known} as there, not {absent} as again from pay_charges)
+            select id, customer_id, case when there then amount else amount + 100 end as amount, currency,
+                   case when not again then 'failed' when {lost} then null else status end as status,
+                   not there as paid, created, subscription_id, {synced}
+            from early where there or again
             """,
             "pay_charges",
         ),
         "upsert_invoices": _sql(
             f"""
+            , early as (select *, {known} as there, not {absent} as again from pay_invoices)
             select id, customer_id, subscription_id,
-                   case when {known} then amount_due else amount_due + 100 end as amount_due,
-                   amount_paid, status, created, period_start, period_end, {SECOND_SYNC} as synced_at
-            from pay_invoices
+                   case when there then amount_due else amount_due + 100 end as amount_due,
+                   case when not again then 0 when {lost} then null else amount_paid end as amount_paid,
+                   case when again then status else 'open' end as status, created, period_start, period_end, {synced}
+            from early where there or again
             """,
             "pay_invoices",
         ),
+        # The first page that has a charge inserts it; the last one changes only its status.
+        "upsert_charges_replayed": _sql(
+            f"""
+            select id, customer_id, amount, currency, 'succeeded' as status, false as paid, created, subscription_id,
+                   {SECOND_SYNC} as synced_at
+            from pay_charges
+            """,
+            "pay_charges",
+        ),
     }
 
 

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Collection, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import exprs as X
-from ledgerlight.operators.upsert import measured_bytes, merge_by_key, one_row_per_key
+from ledgerlight.operators import quality as Q
+from ledgerlight.operators.upsert import merge_by_key, one_row_per_key
 from ledgerlight.plans import ingest, kpi, marts, quality, staging
 from ledgerlight.sources import landed
 from ledgerlight.sources.tables import (
     Sources,
     conform,
+    newest_snapshot,
     parquet_sources,
     read_table,
     save_bucketed,
@@ -31,13 +31,8 @@ STAGING = {
     "stg_stripe_subscriptions": ("stripe.subscriptions", staging.stg_stripe_subscriptions),
 }
 OPERATIONAL = ("users", "subscriptions", "events", "stripe_charges")
-STORED = (
-    "fct_mrr_by_month",
-    "fct_user_metrics",
-    "fct_activation_funnel",
-    "fct_revenue_attribution",
-    "kpi_summary",
-)
+MARTS = ("fct_mrr_by_month", "fct_user_metrics", "fct_activation_funnel", "fct_revenue_attribution")
+STORED = ("data_quality", *MARTS, "kpi_summary")
 PAYMENT_LISTS = ("customers", "subscriptions", "charges", "invoices")
 
 
@@ -78,7 +73,6 @@ def save_marts(frames: Mapping[str, DataFrame], database: str) -> None:
         df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
 
 
-@contextmanager
 def merged_pages(
     pages: DataFrame,
     table: str,
@@ -86,24 +80,24 @@ def merged_pages(
     synced_at: dt.datetime,
     on_missing: str = "fail",
     on_duplicate: str = "error",
-) -> Iterator[DataFrame]:
-    """The table after upserting pages of one list over ``previous`` (None: no rows yet).
-
-    A first sync is the batch itself. Otherwise the batch is kept on disk for
-    the duration of the block, because its measured size decides how the merge
-    joins; a lost block is computed again.
-    """
+) -> DataFrame:
+    """The table after upserting pages of one list over ``previous`` (None: no rows yet)."""
     spec = ingest.MERGES[table]
     rows = ingest.flatten(landed.records(pages), table, on_missing, keep_order=True)
     batch = one_row_per_key(rows, spec, ingest.ORDER, on_duplicate)
     if previous is None:
-        yield conform(batch.withColumn(spec.touch, X.timestamp(synced_at)), f"stripe.{table}")
-        return
-    batch = batch.persist(StorageLevel.DISK_ONLY)
-    try:
-        yield merge_by_key(previous, batch, spec, synced_at, measured_bytes(batch))
-    finally:
-        batch.unpersist()
+        return conform(batch.withColumn(spec.touch, X.timestamp(synced_at)), f"stripe.{table}")
+    return merge_by_key(previous, batch, spec, synced_at)
+
+
+def rejected_rows(pages: DataFrame, table: str) -> DataFrame:
+    """Records that a sync with ``on_missing="reject"`` leaves out: page, position, missing fields, the record."""
+    return ingest.rejects(landed.records(pages), table).select("page", "position", "missing", "record")
+
+
+def _check_order(page_per_line: bool, on_duplicate: str) -> None:
+    if page_per_line and on_duplicate == "latest":
+        raise ValueError("pages of one file have no order, so repeated ids cannot be replayed")
 
 
 def sync_payments(
@@ -115,20 +109,34 @@ def sync_payments(
     on_missing: str = "fail",
     on_duplicate: str = "error",
     page_per_line: bool = False,
-) -> None:
+    by_name: bool = False,
+) -> dict[str, int]:
     """Merge landed pages (``landed_dir/customers`` ...) over the ``previous`` tables into ``out``.
 
     ``out`` must be a new place: the tables being read are never overwritten,
     and a failed or repeated run leaves ``previous`` as it was. Whoever calls
-    decides when readers move on to ``out``.
+    decides when readers move on to ``out``. With ``on_missing="reject"``
+    incomplete records are kept under ``out/rejects``; their numbers are returned.
     """
     if previous is not None and previous.rstrip("/") == out.rstrip("/"):
         raise ValueError("write to a new directory, not over the previous tables")
+    _check_order(page_per_line, on_duplicate)
+    rejected = {}
     for table in PAYMENT_LISTS:
-        pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line)
+        pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line, by_name)
         before = None if previous is None else read_table(spark, previous, f"stripe.{table}")
-        with merged_pages(pages, table, before, synced_at, on_missing, on_duplicate) as merged:
-            write_table(merged, out, f"stripe.{table}")
+        write_table(merged_pages(pages, table, before, synced_at, on_missing, on_duplicate), out, f"stripe.{table}")
+        if on_missing == "reject":
+            path = f"{out.rstrip('/')}/rejects/{table}"
+            rejected_rows(pages, table).write.mode("overwrite").parquet(path)
+            rejected[table] = spark.read.parquet(path).count()
+    return rejected
+
+
+def _buckets(spark: SparkSession, name: str) -> int | None:
+    """The number of buckets of a catalog table; None if it is not bucketed."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+    return int(found["data_type"]) if found else None
 
 
 def sync_payment_tables(
@@ -142,28 +150,45 @@ def sync_payment_tables(
     on_missing: str = "fail",
     on_duplicate: str = "error",
     page_per_line: bool = False,
-) -> None:
+    by_name: bool = False,
+) -> dict[str, int]:
     """The same sync over catalog tables bucketed by id, so a large target is never shuffled.
 
     Each run writes ``<table>_<run_id>`` and then points the view ``<table>`` at
-    it. Repeating a run with the same ids replaces its own tables only.
+    it. Repeating a run with the same ids replaces its own tables only. Rejected
+    records go to ``<table>_<run_id>_rejects``.
     """
     if previous_run == run_id:
         raise ValueError("a run cannot build on itself")
+    _check_order(page_per_line, on_duplicate)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    rejected = {}
     for table in PAYMENT_LISTS:
-        pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line)
-        before = None if previous_run is None else spark.table(f"{database}.{table}_{previous_run}")
-        with merged_pages(pages, table, before, synced_at, on_missing, on_duplicate) as merged:
-            save_bucketed(merged, f"{database}.{table}_{run_id}", "id", buckets)
+        pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line, by_name)
+        earlier = None if previous_run is None else f"{database}.{table}_{previous_run}"
+        before = None if earlier is None else spark.table(earlier)
+        merged = merged_pages(pages, table, before, synced_at, on_missing, on_duplicate)
+        # A merge with a table of as many buckets is laid out like it already.
+        laid_out = earlier is not None and _buckets(spark, earlier) == buckets
+        save_bucketed(merged, f"{database}.{table}_{run_id}", "id", buckets, laid_out)
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM {database}.{table}_{run_id}")
+        if on_missing == "reject":
+            name = f"{database}.{table}_{run_id}_rejects"
+            rejected_rows(pages, table).write.mode("overwrite").format("parquet").saveAsTable(name)
+            rejected[table] = spark.table(name).count()
+    return rejected
 
 
 def stored_sources(spark: SparkSession, operational: str, payments: str) -> Sources:
-    """The product tables under one directory and the last sync's tables under another."""
+    """The product tables under one directory and the payment tables under another.
+
+    The latter is what a sync wrote, or the snapshots of a stream, of which each
+    table's newest is read.
+    """
+    folders = {t: newest_snapshot(spark, payments, t) or payments for t in PAYMENT_LISTS}
     return {
         **parquet_sources(spark, operational, OPERATIONAL),
-        **parquet_sources(spark, payments, [f"stripe.{t}" for t in PAYMENT_LISTS]),
+        **{f"stripe.{t}": read_table(spark, folder, f"stripe.{t}") for t, folder in folders.items()},
     }
 
 
@@ -174,21 +199,26 @@ def run(
     as_of: dt.date,
     only: Collection[str] = STORED,
 ) -> dict[str, DataFrame]:
-    """Build and store the quality report, and the marts and KPIs named in ``only``.
+    """Build and store what is named in ``only``: the quality report, marts and KPIs.
 
-    Registers the staging views; returns what was stored, read back from ``out``.
+    Only the tables that these need are read. Registers the staging views;
+    returns what was stored, read back from ``out``.
     """
     unknown = sorted(set(only) - set(STORED))
     if unknown:
         raise ValueError(f"no such table: {', '.join(unknown)}")
-    quality.data_quality(sources).write.mode("overwrite").parquet(f"{out}/data_quality")
-    report = spark.read.parquet(f"{out}/data_quality")
-    repeated = report.where(
-        (F.col("check") == "unique") & (F.col("table") == "subscriptions") & (F.col("violations") > 0)
-    )
     staged = stage(sources)
     register_views(staged)
-    frames = build_marts(staged, as_of, unique_ids=repeated.isEmpty())
-    frames["kpi_summary"] = kpi.kpi_summary(sources)
-    write_marts({name: frames[name] for name in only}, out)
+    if "data_quality" in only:
+        write_marts({"data_quality": quality.data_quality(sources)}, out)
+    frames = {}
+    if set(only) & set(MARTS):
+        unique = True
+        if "fct_mrr_by_month" in only:
+            keys = Q.key_checks(sources["subscriptions"], "subscriptions", quality.PRIMARY_KEY)
+            unique = keys.where((F.col("check") == "unique") & (F.col("violations") > 0)).isEmpty()
+        frames = build_marts(staged, as_of, unique)
+    if "kpi_summary" in only:
+        frames["kpi_summary"] = kpi.kpi_summary(sources)
+    write_marts({name: frames[name] for name in only if name in frames}, out)
     return {name: spark.read.parquet(f"{out}/{name}") for name in only}

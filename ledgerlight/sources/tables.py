@@ -125,10 +125,38 @@ def write_events_by_day(events: DataFrame, base: str, mode: str = "overwrite") -
     write_table(dated, base, "events", mode, partition_by="event_date")
 
 
-def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
-    """Replace a catalog table bucketed and sorted by ``key``.
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, laid_out: bool = False) -> None:
+    """Replace a catalog table bucketed and sorted by ``key``, with one file per bucket.
 
-    Joins on the key read it without a shuffle, and a result that is already
-    partitioned that way is written as one file per bucket.
+    Joins on the key read it without a shuffle. ``laid_out`` says that the rows are
+    partitioned that way already, as a merge with such a table leaves them.
     """
-    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    rows = df if laid_out else df.repartition(buckets, key)
+    rows.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name in whatever store it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def snapshot(snapshots: str, epoch: int) -> str:
+    return f"{snapshots.rstrip('/')}/{epoch}"
+
+
+def _finished(snapshots: str, table: str) -> str:
+    return f"{snapshots.rstrip('/')}/finished/{table}"
+
+
+def note_snapshot(spark: SparkSession, snapshots: str, table: str, epoch: int) -> None:
+    """Note that a payment table's snapshot is complete; noting it twice does no harm."""
+    spark.createDataFrame([(epoch,)], "epoch long").coalesce(1).write.mode("append").parquet(_finished(snapshots, table))
+
+
+def newest_snapshot(spark: SparkSession, snapshots: str, table: str) -> str | None:
+    """The folder of a payment table's newest complete snapshot; None if no stream wrote there."""
+    if not path_exists(spark, _finished(snapshots, table)):
+        return None
+    noted = spark.read.schema("epoch long").parquet(_finished(snapshots, table))
+    return snapshot(snapshots, noted.agg(F.max("epoch").alias("epoch")).first()["epoch"])

@@ -2,7 +2,7 @@
 
 Customers become users and payment customers, orders become subscriptions, and
 events stay events; every row is used. Values only the payment side knows are
-derived by plain arithmetic, which ``__spark_entry__`` repeats in SQL.
+derived by plain arithmetic, which ``oracle`` repeats in SQL.
 """
 
 from __future__ import annotations
@@ -180,13 +180,13 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
 # --- landed pages -----------------------------------------------------------
 
 
-def _page(table_name: str, page: Column, data: Column) -> list[Column]:
+def _page(table_name: str, page: Column, data: Column, has_more: bool = False) -> list[Column]:
     """A page as it would lie in a file: its name and its JSON text."""
     body = F.to_json(
         F.struct(
             F.lit("list").alias("object"),
             data.alias("data"),
-            F.lit(False).alias("has_more"),
+            F.lit(has_more).alias("has_more"),
             F.lit(f"/v1/{table_name}").alias("url"),
         )
     )
@@ -293,6 +293,98 @@ PAGES = {
 }
 
 
+def replayed_charge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve pages per subscription, on which every charge comes twice.
+
+    The n-th charge is pending on page 1 + n % 9, and has another status and another
+    amount on page 10 + n % 3. Read as text, most of the later names come first.
+    """
+
+    def record(start: Column, n: Column) -> Column:
+        later = F.col("k") >= 10
+        return F.struct(
+            X.hashed_id("ch_", F.col("id"), n).alias("id"),
+            F.lit("charge").alias("object"),
+            (F.col("plan_amount") + F.when(later, 100).otherwise(0)).alias("amount"),
+            F.col("plan_currency").alias("currency"),
+            F.col("customer_id").alias("customer"),
+            F.when(later, "succeeded").otherwise("pending").alias("status"),
+            later.alias("paid"),
+            start.alias("created"),
+            F.struct(F.col("id").alias("subscription_id"), F.col("plan_id").alias("plan")).alias("metadata"),
+        )
+
+    billed = _schedule(payment_subscriptions(spark, sf_dir).repartition(spread(spark), "id"))
+    paged = billed.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    numbered = F.transform("starts", lambda start, n: F.struct(n.alias("n"), record(start, n).alias("r")))
+    here = F.filter(numbered, lambda x: (1 + x["n"] % 9 == F.col("k")) | (10 + x["n"] % 3 == F.col("k")))
+    page = F.concat(F.lit("page_"), F.col("k").cast("string"))
+    return paged.select(*_page("charges", page, F.transform(here, lambda x: x["r"])))
+
+
+def faulty_pages(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
+    """Pages of a list on which some records lack required fields, and after which more pages follow."""
+    if table_name == "customers":
+        key = F.col("c_custkey")
+        record = F.struct(
+            X.hashed_id("cus_", key).alias("id"),
+            F.when(key % 4 != 0, F.col("c_name")).alias("email"),
+            F.when(key % 6 != 0, F.col("c_name")).alias("name"),
+            key.alias("created"),
+            F.lit("usd").alias("currency"),
+        )
+        rows, page = _read(spark, sf_dir, "customer"), key
+    else:
+        key = F.col("o_orderkey")
+        common = {
+            "id": X.hashed_id("x_", key),
+            "customer": F.when(key % 5 != 0, X.hashed_id("cus_", F.col("o_custkey"))),
+            "status": F.col("o_orderstatus"),
+            "created": X.to_epoch(F.col("o_orderdate")),
+        }
+        if table_name == "charges":
+            own = {"amount": F.when(key % 7 != 0, 100), "currency": F.lit("usd"), "paid": F.lit(True)}
+        else:
+            own = {
+                "subscription": F.lit("sub_1"), "amount_due": F.lit(1), "amount_paid": F.when(key % 3 != 0, 1),
+                "period_start": F.lit(1), "period_end": F.lit(2),
+            }
+        record = F.struct(*[c.alias(n) for n, c in (common | own).items()])
+        rows, page = _read(spark, sf_dir, "orders"), key
+    return rows.select(*_page(table_name, page, F.array(record), has_more=True))
+
+
+def faulty_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """Four of the tables with faults: repeated and missing keys, long texts, orphans, no rows."""
+    people = users(spark, sf_dir)
+    key = F.col("id")
+    people = people.union(people.where(key % 10 == 3)).withColumns(
+        {
+            "id": F.when(key % 50 != 7, key),
+            "email": F.when(key % 60 == 5, F.lit(None)).when(key % 20 == 0, "same@example.com").when(
+                key % 70 == 1, F.repeat(F.lit("e"), 300)
+            ).otherwise(F.col("email")),
+            "name": F.when(key % 30 == 1, F.repeat(F.lit("n"), 256)).otherwise(F.col("name")),
+            "created_at": F.when(key % 40 != 2, F.col("created_at")),
+        }
+    )
+    subs = subscriptions(spark, sf_dir)
+    subs = subs.withColumns(
+        {
+            "user_id": F.when(key % 25 == 0, F.col("user_id") + 10_000_000).otherwise(F.col("user_id")),
+            "status": F.when(key % 90 == 1, F.repeat(F.lit("s"), 51)).otherwise(F.col("status")),
+        }
+    )
+    charges = payment_customers(spark, sf_dir).select(
+        F.when(F.col("created") % 7 == 0, F.repeat(F.lit("c"), 260)).otherwise(F.col("id")).alias("id"),
+        F.col("id").alias("customer_id"),
+        F.lit(1).alias("amount_cents"),
+        F.lit("succeeded").alias("status"),
+        X.timestamp(FIRST_SYNC).alias("created_at"),
+    )
+    return {"users": people, "subscriptions": subs, "events": events(spark, sf_dir).where("false"), "stripe_charges": charges}
+
+
 def landed_pages(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
     """Pages of a provider list: ``page`` and its JSON text as ``value``."""
     return PAGES[table_name](spark, sf_dir)
@@ -331,15 +423,24 @@ def later_batch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """What the second sync brings: everything new or changed since the first.
 
     Amounts, currencies and companies differ from the first state as well, and
-    a merge must not take those over for known rows.
+    a merge must not take those over for known rows. Some known rows are not in the
+    batch, and in some an updated column is NULL, which a merge must take over.
     """
     df = table(spark, sf_dir, f"stripe.{name}").drop("synced_at")
     cutoff = F.lit(X.epoch_seconds(FIRST_SYNC)).cast("bigint")
+    key = F.col("id")
     if name == "customers":
-        return df.withColumns({"currency": F.lit("eur"), "company": F.lit("moved")})
+        # Some are absent from the batch, and others lose their email.
+        some = df.where(~key.rlike("[01]$"))
+        lost = F.when(~key.rlike("[23]$"), F.col("email"))
+        return some.withColumns({"email": lost, "currency": F.lit("eur"), "company": F.lit("moved")})
     if name == "subscriptions":
         changed = df.where((F.col("created") >= cutoff) | (F.col("canceled_at") >= cutoff))
-        return changed.withColumn("plan_amount", F.col("plan_amount") + 100)
+        lost = F.when(~key.rlike("[23]$"), F.col("status"))
+        return changed.withColumns({"status": lost, "plan_amount": F.col("plan_amount") + 100})
+    some = df.where(~key.rlike("[01]$"))
     if name == "charges":
-        return df.withColumn("amount", F.col("amount") + 100)
-    return df.withColumn("amount_due", F.col("amount_due") + 100)
+        lost = F.when(~key.rlike("[23]$"), F.col("status"))
+        return some.withColumns({"status": lost, "amount": F.col("amount") + 100})
+    lost = F.when(~key.rlike("[23]$"), F.col("amount_paid"))
+    return some.withColumns({"amount_paid": lost, "amount_due": F.col("amount_due") + 100})

@@ -3,29 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlight.plans.pipeline import merged_pages
+from ledgerlight.plans.pipeline import merged_pages, rejected_rows
 from ledgerlight.schemas import envelope
-from ledgerlight.sources.landed import STRICT
-from ledgerlight.sources.tables import read_table, write_table
+from ledgerlight.sources.landed import STRICT, named_pages
+from ledgerlight.sources.tables import note_snapshot, path_exists, read_table, snapshot, write_table
 
 
-def checkpoint_location(spark: SparkSession, name: str, given: str | None = None) -> str:
-    """Where a stream keeps its progress: ``given``, or the cluster's checkpoint folder."""
+def checkpoint_location(spark: SparkSession, table: str, snapshots: str, given: str | None = None) -> str:
+    """Where a stream keeps its progress: ``given``, or a folder of its own in the cluster's checkpoint folder.
+
+    The name belongs to the output, so that two streams never share their progress.
+    """
     if given is not None:
         return given
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         raise ValueError("name a checkpoint folder, or set spark.checkpoint.dir")
-    return f"{shared.rstrip('/')}/{name}"
-
-
-def snapshot(snapshots: str, epoch: int) -> str:
-    return f"{snapshots.rstrip('/')}/{epoch}"
+    output = hashlib.md5(snapshots.rstrip("/").encode()).hexdigest()[:16]
+    return f"{shared.rstrip('/')}/sync_{table}_{output}"
 
 
 def sync_stream(
@@ -38,31 +38,48 @@ def sync_stream(
     max_files: int | None = None,
     on_missing: str = "fail",
     on_duplicate: str = "latest",
+    previous: str | None = None,
+    page_per_line: bool = False,
+    by_name: bool = False,
 ) -> StreamingQuery:
     """Merge every page of ``landed_dir/<table>`` not merged by an earlier run, then stop.
 
     Micro-batch n reads snapshot n - 1 and writes snapshot n, so repeating a
-    batch after a failure gives the same snapshot. A key that comes twice in a
-    batch is replayed in page order. Each batch rewrites the table: prefer few
-    large batches. The newest snapshot is also the view ``stripe_<table>``.
+    batch after a failure gives the same snapshot; the first one starts from the
+    ``previous`` tables, if given. A key that comes twice in a batch is replayed in
+    page order. Rejected records are kept under ``<snapshots>/<n>/rejects``. Each
+    batch rewrites the table: prefer few large batches. The newest snapshot is
+    noted for ``newest_snapshot``, and is also the view ``stripe_<table>``.
     """
-    reader = spark.readStream.schema(envelope(table)).options(**STRICT).option("multiLine", True)
+    if page_per_line and on_duplicate == "latest":
+        raise ValueError("pages of one file have no order, so repeated ids cannot be replayed")
+    progress = checkpoint_location(spark, table, snapshots, checkpoint)
+    name = f"stripe.{table}"
+    if not path_exists(spark, progress) and path_exists(spark, f"{snapshots.rstrip('/')}/finished/{table}"):
+        raise ValueError(f"{snapshots} has snapshots of {table}, but {progress} has no progress to go on from")
+    reader = spark.readStream.schema(envelope(table)).options(**STRICT)
+    if not page_per_line:
+        reader = reader.option("multiLine", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    pages = reader.json(f"{landed_dir}/{table}").select(F.col("_metadata.file_path").alias("page"), "data")
-    name = f"stripe.{table}"
+    pages = named_pages(reader.json(f"{landed_dir}/{table}"), by_name)
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
-        before = read_table(session, snapshot(snapshots, epoch - 1), name) if epoch > 0 else None
-        with merged_pages(batch, table, before, synced_at, on_missing, on_duplicate) as merged:
-            write_table(merged, snapshot(snapshots, epoch), name)
+        folder = snapshot(snapshots, epoch - 1) if epoch > 0 else previous
+        before = None if folder is None else read_table(session, folder, name)
+        merged = merged_pages(batch, table, before, synced_at, on_missing, on_duplicate)
+        write_table(merged, snapshot(snapshots, epoch), name)
+        if on_missing == "reject":
+            rejected = rejected_rows(batch, table)
+            rejected.write.mode("overwrite").parquet(f"{snapshot(snapshots, epoch)}/rejects/{table}")
+        note_snapshot(session, snapshots, table, epoch)
         # in the caller's session: the stream runs in a copy of it
         read_table(spark, snapshot(snapshots, epoch), name).createOrReplaceTempView(f"stripe_{table}")
 
     return (
         pages.writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint_location(spark, f"sync_{table}", checkpoint))
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )

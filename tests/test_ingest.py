@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 
 from ledgerlight.plans import ingest, pipeline
 from ledgerlight.sources import landed
-from ledgerlight.sources.tables import read_table
+from ledgerlight.sources.tables import empty, read_table
 from ledgerlight.streaming import payments
 
 DAY1, DAY2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
@@ -190,5 +191,92 @@ def test_stream_merges_each_page_once(spark, tmp_path):
 
 def test_stream_checkpoint_comes_from_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
-    assert payments.checkpoint_location(spark, "x", "/given") == "/given"
-    assert payments.checkpoint_location(spark, "x") == f"{shared}/x"
+    assert payments.checkpoint_location(spark, "x", "out", "/given") == "/given"
+    one, other = (payments.checkpoint_location(spark, "x", out) for out in ("out/", "out2"))
+    assert one.startswith(f"{shared}/sync_x_") and one != other
+    assert one == payments.checkpoint_location(spark, "x", "out")
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_page_numbers_are_numbers(spark, tmp_path, by_name):
+    land(tmp_path / "in", "customers", page_2=[customer("cus_1", "old@x")], page_10=[customer("cus_1", "new@x")])
+    for table in ("subscriptions", "charges", "invoices"):
+        land(tmp_path / "in", table, p1=[])
+    same = (tmp_path / "in" / "customers" / "page_2.json").stat().st_mtime
+    os.utime(tmp_path / "in" / "customers" / "page_10.json", (same, same - (5 if by_name else 0)))
+    os.utime(tmp_path / "in" / "customers" / "page_2.json", (same, same))
+    where = str(tmp_path / f"v{by_name}")
+    pipeline.sync_payments(spark, str(tmp_path / "in"), where, DAY1, on_duplicate="latest", by_name=by_name)
+    assert rows(read_table(spark, where, "stripe.customers").select("email")) == [("new@x",)]
+    query = payments.sync_stream(spark, str(tmp_path / "in"), "customers", str(tmp_path / "s"), DAY1, by_name=by_name)
+    query.awaitTermination(120)
+    assert rows(spark.table("stripe_customers").select("email")) == [("new@x",)]
+
+
+def test_later_pages_win_whatever_their_name(spark, tmp_path):
+    land(tmp_path, "customers", page_10=[customer("cus_1", "old@x")], page_9=[customer("cus_1", "new@x")])
+    os.utime(tmp_path / "customers" / "page_10.json", (1_700_000_000, 1_700_000_000))
+    pages = landed.read_pages(spark, str(tmp_path / "customers"), "customers")
+    out = pipeline.merged_pages(pages, "customers", None, DAY1, on_duplicate="latest")
+    assert rows(out.select("email")) == [("new@x",)]
+
+
+def test_pages_without_order_cannot_be_replayed(spark, tmp_path):
+    with pytest.raises(ValueError, match="no order"):
+        pipeline.sync_payments(spark, "in", "out", DAY1, on_duplicate="latest", page_per_line=True)
+    with pytest.raises(ValueError, match="no order"):
+        payments.sync_stream(spark, "in", "customers", "out", DAY1, page_per_line=True)
+
+
+def test_rejected_records_are_kept(spark, tmp_path):
+    bad = customer("cus_2")
+    del bad["email"]
+    land(tmp_path / "in", "customers", p1=[customer("cus_1"), bad], p2=[customer("cus_3")])
+    for table in ("subscriptions", "charges", "invoices"):
+        land(tmp_path / "in", table, p1=[])
+    out = str(tmp_path / "v1")
+    counts = pipeline.sync_payments(spark, str(tmp_path / "in"), out, DAY1, on_missing="reject")
+    assert counts == {"customers": 1, "subscriptions": 0, "charges": 0, "invoices": 0}
+    kept = spark.read.parquet(f"{out}/rejects/customers")
+    assert rows(kept.select("record.id", "missing")) == [("cus_2", "email")]
+    assert read_table(spark, out, "stripe.customers").count() + kept.count() == 3
+    query = payments.sync_stream(
+        spark, str(tmp_path / "in"), "customers", str(tmp_path / "s"), DAY1, on_missing="reject"
+    )
+    query.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "s" / "0" / "rejects" / "customers")).count() == 1
+    assert spark.table("stripe_customers").count() == 2
+
+
+def test_stream_goes_on_from_a_sync_and_feeds_a_build(spark, tmp_path):
+    land(tmp_path / "one", "customers", p1=[customer("cus_1"), customer("cus_2")])
+    for table in ("subscriptions", "charges", "invoices"):
+        land(tmp_path / "one", table, p1=[])
+        land(tmp_path / "two", table, p1=[])
+    v1, snapshots = str(tmp_path / "v1"), str(tmp_path / "s")
+    pipeline.sync_payments(spark, str(tmp_path / "one"), v1, DAY1)
+    land(tmp_path / "two", "customers", p1=[customer("cus_2", "new@x")], p2=[customer("cus_3")])
+    for table in pipeline.PAYMENT_LISTS:
+        # uneven batches: two for customers, one for the others
+        payments.sync_stream(
+            spark, str(tmp_path / "two"), table, snapshots, DAY2, max_files=1, previous=v1
+        ).awaitTermination(120)
+    for table in pipeline.OPERATIONAL:
+        empty(spark, table).write.parquet(str(tmp_path / "ops" / table))
+    sources = pipeline.stored_sources(spark, str(tmp_path / "ops"), snapshots)
+    found = rows(sources["stripe.customers"].select("id", "email"))
+    assert found == [("cus_1", "a@x"), ("cus_2", "new@x"), ("cus_3", "a@x")]
+    assert sources["stripe.charges"].count() == 0
+    with pytest.raises(ValueError, match="no progress"):
+        payments.sync_stream(spark, str(tmp_path / "two"), "customers", snapshots, DAY2, str(tmp_path / "fresh"))
+
+
+def test_unfinished_lists_are_told(spark, tmp_path):
+    folder = tmp_path / "customers"
+    folder.mkdir()
+    for name, more in (("page_2", True), ("page_10", False)):
+        (folder / f"{name}.json").write_text(json.dumps({**page([customer(name)]), "has_more": more}))
+    both = landed.read_pages(spark, str(folder), "customers", by_name=True)
+    assert landed.unfinished(both).first()["unfinished"] == 0
+    assert landed.unfinished(both.where("page like '%page_2.json'")).first()["unfinished"] == 1
+    assert landed.unfinished(both.where("false")).first()["unfinished"] == 0

@@ -84,13 +84,22 @@ def test_user_metrics_shuffles_each_input_once_per_level(spark):
 def test_small_batch_leaves_the_target_in_place(spark):
     target = spark.createDataFrame([], TABLES["stripe.charges"])
     batch = target.drop("synced_at")
-    out = U.merge_by_key(target, batch, ingest.MERGES["charges"], R.ts("2024-01-01"), 0)
-    assert "Exchange hashpartitioning" not in plan(out)
+    out = U.merge_by_key(target, batch, ingest.MERGES["charges"], R.ts("2024-01-01"), broadcast_batch=True)
+    # only the keys that both sides have meet, to be told apart once
+    assert plan(out).count("Exchange hashpartitioning") == 1
     with settings(spark, autoBroadcastJoinThreshold="-1"):
-        large = U.merge_by_key(target, batch, ingest.MERGES["charges"], R.ts("2024-01-01"), U.BROADCAST_BYTES + 1)
+        large = U.merge_by_key(target, batch, ingest.MERGES["charges"], R.ts("2024-01-01"))
         assert plan(large).count("Exchange hashpartitioning") == 2
 
 
+def test_merge_input_is_shuffled_once(spark):
+    target = spark.createDataFrame([], TABLES["stripe.charges"])
+    batch = U.one_row_per_key(target.drop("synced_at"), ingest.MERGES["charges"])
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        out = U.merge_by_key(target, batch, ingest.MERGES["charges"], R.ts("2024-01-01"))
+        assert plan(out).count("Exchange hashpartitioning") == 2  # the batch's and the target's
+
+
 def test_bucketed_target_is_not_shuffled(spark):
     rows = [(f"ch_{n}", "cus", n, "usd", "failed", False, n, None, None) for n in range(100)]
     spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
