@@ -41,7 +41,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--by-name", action="store_true", help="pages follow each other by name, not by time")
 
     build = commands.add_parser("build", help="store the quality report, the marts and the KPIs")
-    build.add_argument("--out", required=True)
+    place = build.add_mutually_exclusive_group(required=True)
+    place.add_argument("--out")
+    place.add_argument("--database", help="a catalog database instead of a folder; needs --run")
+    build.add_argument("--run", help="names this run's tables, behind views of the plain names")
     build.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
     build.add_argument("--only", nargs="+", choices=pipeline.STORED, default=pipeline.STORED)
     counts = commands.add_parser("counts", help="print the row count of every table")
@@ -53,6 +56,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
+    if args.command == "build" and bool(args.database) != bool(args.run):
+        raise SystemExit("--database and --run go together")
     spark = SparkSession.builder.getOrCreate()
     if args.command == "sync":
         rejected = pipeline.sync_payments(
@@ -70,9 +75,10 @@ def main(arguments: list[str] | None = None) -> None:
             )
             query.awaitTermination()
     else:
-        sources = pipeline.stored_sources(spark, args.operational, args.payments)
+        only = args.only if args.command == "build" else pipeline.STORED
+        sources = pipeline.stored_sources(spark, args.operational, args.payments, only)
         if args.command == "build":
-            pipeline.run(spark, sources, args.out, args.as_of, args.only)
+            pipeline.run(spark, sources, args.database or args.out, args.as_of, only, args.run)
         else:
             kpi.table_counts(sources).show(truncate=False)
 

@@ -12,6 +12,7 @@ from ledgerlight.functions import exprs as X
 from ledgerlight.operators import quality as Q
 from ledgerlight.operators.upsert import merge_by_key, one_row_per_key
 from ledgerlight.plans import ingest, kpi, marts, quality, staging
+from ledgerlight.schemas import TABLES
 from ledgerlight.sources import landed
 from ledgerlight.sources.tables import (
     Sources,
@@ -33,6 +34,13 @@ STAGING = {
 OPERATIONAL = ("users", "subscriptions", "events", "stripe_charges")
 MARTS = ("fct_mrr_by_month", "fct_user_metrics", "fct_activation_funnel", "fct_revenue_attribution")
 STORED = ("data_quality", *MARTS, "kpi_summary")
+# The tables that each mart is built from; the other results read all of them.
+NEEDS = {
+    "fct_mrr_by_month": ("subscriptions",),
+    "fct_user_metrics": ("users", "subscriptions", "events"),
+    "fct_activation_funnel": ("users",),
+    "fct_revenue_attribution": ("users", "stripe.customers", "stripe.subscriptions"),
+}
 PAYMENT_LISTS = ("customers", "subscriptions", "charges", "invoices")
 
 
@@ -47,16 +55,18 @@ def register_views(frames: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def build_marts(staged: Mapping[str, DataFrame], as_of: dt.date, unique_ids: bool = True) -> dict[str, DataFrame]:
-    users, subscriptions = staged["stg_users"], staged["stg_subscriptions"]
-    return {
-        "fct_mrr_by_month": marts.mrr_by_month(subscriptions, as_of, unique_ids),
-        "fct_user_metrics": marts.user_metrics(users, subscriptions, staged["stg_events"]),
-        "fct_activation_funnel": marts.activation_funnel(users),
-        "fct_revenue_attribution": marts.revenue_attribution(
-            users, staged["stg_stripe_customers"], staged["stg_stripe_subscriptions"], as_of
-        ),
+def build_marts(
+    staged: Mapping[str, DataFrame], as_of: dt.date, unique_ids: bool = True, only: Collection[str] = MARTS
+) -> dict[str, DataFrame]:
+    """The marts named in ``only``, from the staging views that they need."""
+    builders = {
+        "fct_mrr_by_month": lambda subs: marts.mrr_by_month(subs, as_of, unique_ids),
+        "fct_user_metrics": marts.user_metrics,
+        "fct_activation_funnel": marts.activation_funnel,
+        "fct_revenue_attribution": lambda *inputs: marts.revenue_attribution(*inputs, as_of),
     }
+    names = {table: name for name, (table, _) in STAGING.items()}
+    return {mart: builders[mart](*[staged[names[t]] for t in NEEDS[mart]]) for mart in MARTS if mart in only}
 
 
 def write_marts(frames: Mapping[str, DataFrame], out: str) -> None:
@@ -65,12 +75,18 @@ def write_marts(frames: Mapping[str, DataFrame], out: str) -> None:
         df.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
-def save_marts(frames: Mapping[str, DataFrame], database: str) -> None:
-    """Replace the tables in a catalog database, creating it if needed."""
+def save_marts(frames: Mapping[str, DataFrame], database: str, run_id: str) -> None:
+    """Store tables ``<name>_<run_id>`` in a catalog database, then point the views ``<name>`` at them.
+
+    Readers keep the earlier tables until all new ones are complete. Repeating a
+    run replaces its own tables only.
+    """
     spark = next(iter(frames.values())).sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in frames.items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}_{run_id}")
+    for name in frames:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{name}_{run_id}")
 
 
 def merged_pages(
@@ -179,15 +195,24 @@ def sync_payment_tables(
     return rejected
 
 
-def stored_sources(spark: SparkSession, operational: str, payments: str) -> Sources:
+def needed_tables(only: Collection[str]) -> set[str]:
+    """The tables that the results named in ``only`` are built from."""
+    return set().union(*(NEEDS.get(name, TABLES) for name in only))
+
+
+def stored_sources(
+    spark: SparkSession, operational: str, payments: str, only: Collection[str] = STORED
+) -> Sources:
     """The product tables under one directory and the payment tables under another.
 
     The latter is what a sync wrote, or the snapshots of a stream, of which each
-    table's newest is read.
+    table's newest is read. Only tables that ``only`` needs have to be there.
     """
-    folders = {t: newest_snapshot(spark, payments, t) or payments for t in PAYMENT_LISTS}
+    needed = needed_tables(only)
+    lists = [t for t in PAYMENT_LISTS if f"stripe.{t}" in needed]
+    folders = {t: newest_snapshot(spark, payments, t) or payments for t in lists}
     return {
-        **parquet_sources(spark, operational, OPERATIONAL),
+        **parquet_sources(spark, operational, [t for t in OPERATIONAL if t in needed]),
         **{f"stripe.{t}": read_table(spark, folder, f"stripe.{t}") for t, folder in folders.items()},
     }
 
@@ -198,27 +223,33 @@ def run(
     out: str,
     as_of: dt.date,
     only: Collection[str] = STORED,
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Build and store what is named in ``only``: the quality report, marts and KPIs.
 
     Only the tables that these need are read. Registers the staging views;
-    returns what was stored, read back from ``out``.
+    returns what was stored, read back. ``out`` is a folder, or with a ``run_id`` a
+    catalog database, in which views change over once all tables are complete.
     """
     unknown = sorted(set(only) - set(STORED))
     if unknown:
         raise ValueError(f"no such table: {', '.join(unknown)}")
     staged = stage(sources)
     register_views(staged)
-    if "data_quality" in only:
-        write_marts({"data_quality": quality.data_quality(sources)}, out)
     frames = {}
+    if "data_quality" in only:
+        frames["data_quality"] = quality.data_quality(sources)
     if set(only) & set(MARTS):
         unique = True
         if "fct_mrr_by_month" in only:
             keys = Q.key_checks(sources["subscriptions"], "subscriptions", quality.PRIMARY_KEY)
             unique = keys.where((F.col("check") == "unique") & (F.col("violations") > 0)).isEmpty()
-        frames = build_marts(staged, as_of, unique)
+        frames |= build_marts(staged, as_of, unique, only)
     if "kpi_summary" in only:
         frames["kpi_summary"] = kpi.kpi_summary(sources)
-    write_marts({name: frames[name] for name in only if name in frames}, out)
+    chosen = {name: frames[name] for name in only}
+    if run_id is not None:
+        save_marts(chosen, out, run_id)
+        return {name: spark.table(f"{out}.{name}") for name in only}
+    write_marts(chosen, out)
     return {name: spark.read.parquet(f"{out}/{name}") for name in only}

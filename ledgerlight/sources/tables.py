@@ -6,6 +6,7 @@ A set of sources is a plain mapping from table name (the keys of
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,10 +95,11 @@ def read_jdbc(
     url: str,
     table: str,
     bounds: tuple[object, object] | None = None,
-    partitions: int = 1,
+    *,
+    partitions: int,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A table of an operational database; filters and columns are pushed to it."""
+    """A table of an operational database, over so many connections; filters and columns are pushed to it."""
     options = jdbc_options(url, table, bounds, partitions) | dict(properties or {})
     return conform(spark.read.format("jdbc").options(**options).load(), table)
 
@@ -125,6 +127,12 @@ def write_events_by_day(events: DataFrame, base: str, mode: str = "overwrite") -
     write_table(dated, base, "events", mode, partition_by="event_date")
 
 
+def read_events_by_day(spark: SparkSession, base: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Events of the days from ``first`` to ``last``; other days' directories are not read."""
+    stored = spark.read.schema(f"{TABLES['events']}, event_date date").parquet(path_of(base, "events"))
+    return conform(stored.where(F.col("event_date").between(F.lit(first), F.lit(last))), "events")
+
+
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, laid_out: bool = False) -> None:
     """Replace a catalog table bucketed and sorted by ``key``, with one file per bucket.
 

@@ -246,6 +246,10 @@ def test_events_by_day_skip_other_days(spark, tmp_path):
     back = tables.read_table(spark, base, "events")
     assert back.columns == [c for c in R.events(spark, []).columns]
     assert back.count() == len(R.EVENTS) + 1
+    day = R.events(spark, R.EVENTS).selectExpr("min(date(created_at)) AS d").first()["d"]
+    some = tables.read_events_by_day(spark, base, day, day)
+    assert 0 < some.count() < len(R.EVENTS) and some.columns == back.columns
+    assert "PartitionFilters: [isnotnull(event_date" in some._jdf.queryExecution().toString()
 
 
 def test_catalog_sources_and_existence(spark):

@@ -231,7 +231,13 @@ def test_pipeline_stores_the_marts_and_reruns_to_the_same_tables(spark, tmp_path
         "fct_activation_funnel": 3,
         "fct_revenue_attribution": 1,
         "kpi_summary": 1,
+        "data_quality": len(first["data_quality"]),
     }
+    # only the users table is there
+    few = pipeline.stored_sources(spark, ops, "nowhere", ["fct_activation_funnel"])
+    assert list(few) == ["users"]
+    few = pipeline.run(spark, few, str(tmp_path / "few"), R.AS_OF, only=["fct_activation_funnel"])
+    assert contents(few) == {"fct_activation_funnel": first["fct_activation_funnel"]}
     some = ["fct_user_metrics", "kpi_summary"]
     again = contents(pipeline.run(spark, stored, out, R.AS_OF, only=some))
     assert again == {name: first[name] for name in some}
@@ -249,7 +255,12 @@ def test_marts_as_catalog_tables(spark):
         "stg_stripe_customers": staging.stg_stripe_customers(R.payment_customers(spark, [])),
         "stg_stripe_subscriptions": staging.stg_stripe_subscriptions(R.payment_subscriptions(spark, [])),
     }
-    for _ in range(2):
-        pipeline.save_marts(pipeline.build_marts(staged, R.AS_OF), "analytics")
+    for run in ("one", "one", "two"):
+        pipeline.save_marts(pipeline.build_marts(staged, R.AS_OF), "analytics", run)
         assert spark.table("analytics.fct_mrr_by_month").count() == 3
         assert spark.table("analytics.fct_revenue_attribution").count() == 0
+    # a run that fails leaves the earlier tables to the readers
+    bad = staged["stg_users"].select(F.raise_error(F.lit("broken")).alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        pipeline.save_marts({"fct_mrr_by_month": bad.limit(0), "fct_user_metrics": bad}, "analytics", "three")
+    assert spark.table("analytics.fct_mrr_by_month").count() == 3
