@@ -18,7 +18,8 @@
    copies costs a pair for each member, not all pairs. Of the rest, the shingles
    that a class shares with no other bound its similarity to all of them: copies with
    too many changes drop out. The others are held against the least changed
-   class of their keys, and what two of them lack of it bounds their similarity.
+   class of their keys; what two of them lack of it and add to it, folded by parity
+   into a few numbers, bounds their similarity from above.
    Only pairs that these bounds leave open are confirmed one by one.
 5. A pair is linked when the intersection of the full sets is at least
    ``similarity`` percent of the union.
@@ -44,6 +45,7 @@ from pyspark.sql.types import LongType
 from ledgerlight.llm import shared
 
 WORDS, HASHES, CHUNKS, DISTANCE = 5, 64, 13, 24
+FOLDS = 4  # of 64 places each, for what a class lacks of its centre and adds to it
 SLICES = 8  # of a signature's 16 bits a value, as many are compared
 
 _RANDOM = np.random.default_rng(20240602)
@@ -167,15 +169,34 @@ def _alone(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return ids.join(single, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
 
 
-def _overlaps(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) with ``common``, the size of the intersection of the full sets."""
+def _folded(hashes: Column, part: int) -> Column:
+    """A set folded by parity onto 64 of the ``64 * FOLDS`` places: two sets' folds differ in no more places than they do."""
+    place = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
+    own = F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 6), F.lit(FOLDS)) == part)
+    return F.aggregate(own, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(place(h)))
+
+
+def _folds_apart(a: str, b: str) -> Column:
+    differ = [F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(FOLDS)]
+    return sum(differ[1:], differ[0])
+
+
+def _overlaps(pairs: DataFrame, docs: DataFrame, folds: bool = False) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) with ``common``, the size of the intersection of the full sets.
+
+    With ``folds``, also what b lacks of a and what it adds to it, folded.
+    """
     pairs = shared.cut(pairs)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = _sets(docs.join(wanted, "doc_id", "left_semi"))
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
     common = F.size(F.array_intersect("x", "y")).cast("long").alias("common")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common)
+    more = []
+    if folds:
+        lacks, adds = F.array_except("x", "y"), F.array_except("y", "x")
+        more = [_folded(h, i).alias(f"{n}{i}") for n, h in (("lacks", lacks), ("adds", adds)) for i in range(FOLDS)]
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common, *more)
 
 
 def _links(overlaps: DataFrame, similarity: int) -> DataFrame:
@@ -236,22 +257,26 @@ def groups(docs: DataFrame, similarity: int = 85) -> DataFrame:
     centre = placed.join(least, "key").groupBy("id").agg(F.min("least").alias("c")).select("id", F.col("c.id").alias("centre"))
     centre = shared.cut(centre)
     held = centre.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    held = shared.cut(_overlaps(_within_distance(held, classes).select("a", "b", "n_a", "n_b"), docs))
+    held = shared.cut(_overlaps(_within_distance(held, classes).select("a", "b", "n_a", "n_b"), docs, folds=True))
     links = shared.cut(links.union(_links(held, similarity)))
     known = shared.components(links)
 
     # Pairs left over: in different components, within the distance, and by their own
     # shingles and what they lack of a centre they share not too far apart.
-    lacking = held.select(F.col("b").alias("id"), F.col("a").alias("centre"), (F.col("n_a") - F.col("common")).alias("lacks"))
-    lacking = lacking.union(centre.where("id = centre").select("id", "centre", F.lit(0).cast("long")))
-    signed = signed.join(lacking, "id", "left").join(known, "id", "left")
+    folds = [f"{n}{i}" for n in ("lacks", "adds") for i in range(FOLDS)]
+    changes = held.select(F.col("b").alias("id"), F.col("a").alias("centre"), *folds)
+    changes = changes.union(centre.where("id = centre").select("id", "centre", *[F.lit(0).cast("long") for _ in folds]))
+    signed = signed.join(changes, "id", "left").join(known, "id", "left")
     signed = signed.withColumn("component", F.coalesce("component", "id"))
     placed = placed.select("key", "id").join(signed, "id")
     a, b = placed.alias("a"), placed.alias("b")
     both = F.col("a.n_shingles") + F.col("b.n_shingles")
-    apart = F.col("a.alone") + F.col("b.alone") + F.when(
-        F.col("a.centre") == F.col("b.centre"), F.abs(F.col("a.lacks") - F.col("b.lacks"))
-    ).otherwise(0)
+    alone = F.col("a.alone") + F.col("b.alone")
+    # Of one centre's elements they differ in what one of them lacks, of others in what one adds.
+    apart = F.when(
+        F.col("a.centre") == F.col("b.centre"),
+        _folds_apart("a.lacks", "b.lacks") + F.greatest(alone, _folds_apart("a.adds", "b.adds")),
+    ).otherwise(alone)
     rest = a.join(
         b,
         (F.col("a.key") == F.col("b.key"))
