@@ -47,7 +47,7 @@ from ledgerlight.llm import shared
 
 LENGTH, GRAM = 200, 64
 PLACES = LENGTH - GRAM + 1  # of a gram in a string
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 6_000_000
 CHUNK = (1 << 20) - 2 * LENGTH  # string starts looked at together; places must fit 20 bits
 HOT, CLASS = 20_000, 17
 NO_ID = -(2**63)  # stands for a null doc_id within blocks
