@@ -316,10 +316,10 @@ def replayed_charge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     billed = _schedule(payment_subscriptions(spark, sf_dir).repartition(spread(spark), "id"))
     paged = billed.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(12))))
-    numbered = F.transform("starts", lambda start, n: F.struct(n.alias("n"), record(start, n).alias("r")))
+    numbered = F.transform("starts", lambda start, n: F.struct(n.alias("n"), start.alias("start")))
     here = F.filter(numbered, lambda x: (1 + x["n"] % 9 == F.col("k")) | (10 + x["n"] % 3 == F.col("k")))
     page = F.concat(F.lit("page_"), F.col("k").cast("string"))
-    return paged.select(*_page("charges", page, F.transform(here, lambda x: x["r"])))
+    return paged.select(*_page("charges", page, F.transform(here, lambda x: record(x["start"], x["n"]))))
 
 
 def faulty_pages(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame:
