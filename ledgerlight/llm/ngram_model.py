@@ -3,9 +3,10 @@
 Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, and one end a text.
 The model interpolates: the probability of w after h is the discounted share of
 the pair among what follows h, plus what is left of h's mass times the unigram
-probability (c + 0.1) / (N + 0.1 (V + 1)). Pairs are of frequent words (at least
-``SHARE`` of all training tokens, so at most 1 / SHARE of them), the start and the
-end; pairs seen once are left to the unigrams. All words have exact counts.
+probability (c + 0.1) / (N + 0.1 (V + 1)). Every pair of training tokens seen at
+least ``LEAST`` times is in the model, whatever its words, and all words and pairs have
+exact counts, so the model grows with the input. (A ``SHARE`` above zero keeps only
+pairs of words with that share of all tokens, the start and the end.)
 
 How the work is spread:
 
@@ -14,12 +15,15 @@ How the work is spread:
 2. A block's words with their counts go out once per block, are added up by word,
    and the totals come back to the blocks that asked. Nothing is as large as the
    vocabulary in any one place, and a hot word costs a row per block.
-3. Pairs go out in the same way, to shards by hash of context and a range of
-   successors, so a hot context is many shards' work. A shard adds the pairs up and
-   builds its trie: contexts, pointers and successors as Elias-Fano sequences and
-   quantised log probabilities, in one memory-mapped level after the other. Successors
-   are numbered relative to their context, and a pair is looked up by a successor
-   search in the context's range. What is found goes back to the blocks.
+3. A block's distinct pairs, as hashes, go out once per block, packed into one row a
+   shard. All pairs of a context are one shard's, which so knows how often the context is
+   followed; only contexts with ``SPREAD`` of all tokens, a list of at most 1 / SPREAD,
+   are many shards' work, by ranges of successors. A shard adds the pairs up, numbers its
+   own contexts and successors and builds its trie: contexts, pointers and successors
+   as Elias-Fano sequences and quantised log probabilities, in one memory-mapped level
+   after the other. Successors are numbered relative to their context, and a pair is
+   looked up by a successor search in the context's range. What is found goes back to
+   the blocks in the order they asked in.
 4. Each block scores its documents with what came back.
 
 Defined results: a null text is an empty one, whose only token is the end; texts of
@@ -32,6 +36,7 @@ from __future__ import annotations
 
 import mmap
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +47,14 @@ from pyspark.sql import functions as F
 
 from ledgerlight.llm import labelled, shared
 
-SHARE = 1 / 20_000
-ADDED, DISCOUNT, LEAST = 0.1, 0.5, 2
+SHARE = 0.0
+SPREAD = 1 / 20_000  # of all tokens; contexts that have it are dealt out to several shards
+ADDED, DISCOUNT, LEAST = 0.1, 0.5, 1
 BLOCK_BYTES = 48_000_000  # of text
 STEP = 4096  # quanta of a decimal order of magnitude
-RANGE = 9  # bits of a successor's number that one shard holds together
+RANGES = 9  # bits of a successor's hash, by whose values the pairs of a common context are dealt out
 END = 1  # its hash; words hash to anything else but for a chance of 2**-64
-START = 0  # number of the start as a context
+START = 0  # hash of the start as a context, likewise
 
 
 # Elias-Fano sequences.
@@ -205,14 +211,54 @@ class Block:
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.starts = np.append(0, self.ends[:-1])
 
-    def pairs(self, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per token, the numbers of its context and of itself among frequent words (sorted); -1 for others."""
-        place = np.searchsorted(frequent, self.words)
-        known = np.append(frequent, 0)[place] == self.words if len(frequent) else np.zeros(len(self.words), bool)
-        number = np.where(known, place + 1, -1)[self.tokens]
-        before = np.append(START, number[:-1])
-        before[self.starts] = START
-        return before, number
+    def before(self) -> np.ndarray:
+        """Per token, the number of its context plus one; 0 for the start."""
+        before = np.append(0, self.tokens[:-1] + 1)
+        before[self.starts] = 0
+        return before
+
+    def pairs(self, listed: np.ndarray, shards: int, only_listed: bool) -> Pairs:
+        """The distinct pairs by shard and context; ``listed`` (sorted) are the common contexts' hashes."""
+        known = np.isin(self.words, listed) if only_listed else np.ones(len(self.words), bool)
+        before = self.before()
+        used = np.flatnonzero(np.append(True, known)[before] & known[self.tokens])
+        key, place = np.unique(before[used] << 32 | self.tokens[used], return_inverse=True)
+        number, second = key >> 32, self.words[key & 0xFFFFFFFF]
+        first = np.append(START, self.words)[number]
+        part = np.append(True, np.isin(self.words, listed))[number] * ((second.view(np.uint64) >> np.uint64(64 - RANGES)) + np.uint64(1))
+        shard = (shared.mixed(first.view(np.uint64) + shared.mixed(part)) % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((first, shard))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        number, first, shard = number[order], first[order], shard[order]
+        head = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (shard[1:] != shard[:-1]))[: len(first)])
+        return Pairs(used, rank[place.ravel()], first[head], number[head], head, second[order], shard)
+
+
+class Pairs(NamedTuple):
+    """The distinct pairs of a block, each context's together."""
+
+    used: np.ndarray  # tokens that end a pair
+    place: np.ndarray  # which pair each of them ends
+    context: np.ndarray  # hashes of the contexts
+    number: np.ndarray  # their numbers in the block plus one, 0 for the start
+    head: np.ndarray  # the first pair of each
+    second: np.ndarray  # per pair, the hash of its second word
+    shard: np.ndarray  # per pair, in ascending order
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    sizes = np.array([len(a) for a in arrays], np.int64)
+    return zstandard.compress(b"".join(a.tobytes() for a in (sizes, *arrays)), 1)
+
+
+def _unpacked(data: bytes, *types: type) -> list[np.ndarray]:
+    data = zstandard.decompress(data)
+    at, out = 8 * len(types), []
+    for size, kind in zip(np.frombuffer(data, np.int64, len(types)), types):
+        out.append(np.frombuffer(data, kind, size, at))
+        at += out[-1].nbytes
+    return out
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -275,72 +321,88 @@ def score(docs: DataFrame) -> DataFrame:
     totals = words.groupBy("word").agg(F.sum("n").alias("c"))
     sizes = totals.where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_tokens, n_words = sizes["n"] or 0, sizes["v"]
-    # At most 1 / SHARE words can have that share.
-    much = (F.col("c") >= SHARE * n_tokens) | (F.col("word") == END)
+    # At most 1 / least words can have that share.
+    only_listed, least = SHARE > 0, SHARE or SPREAD
+    much = (F.col("c") >= least * n_tokens) | (F.col("word") == END)
     frequent = totals.where((F.col("c") > 0) & much).collect() if n_tokens else []
     n_starts = next((r["c"] for r in frequent if r["word"] == END), 0)
-    frequent = sorted((r for r in frequent if r["c"] >= SHARE * n_tokens), key=lambda r: r["word"])
-    common = context.broadcast(
-        (np.array([r["word"] for r in frequent], np.int64), np.array([r["c"] for r in frequent], np.int64))
-    )
-    universe = len(frequent) + 1
+    frequent = sorted([(r["word"], r["c"]) for r in frequent if r["c"] >= least * n_tokens] + [(START, n_starts)])
+    # Contexts, and how often each is followed by a token.
+    common = context.broadcast(tuple(np.array(x, np.int64) for x in zip(*frequent)))
+    shards = 2 * max(1, blocks.count())
 
     def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, _ = common.value
+        listed, _ = common.value
         for row in _rows(batches):
             b = Block(row)
-            first, second = b.pairs(known)
-            both = (first >= 0) & (second > 0)
-            training = np.repeat(~b.held, np.diff(np.append(0, b.ends)))[both]
-            key, place = np.unique(first[both] << 32 | second[both], return_inverse=True)
-            n = np.bincount(place.ravel()[training], minlength=len(key)).astype(np.int64)
-            yield from _out({"key": key, "block": np.full(len(key), row["block"]), "n": n})
+            p = b.pairs(listed, shards, only_listed)
+            training = np.repeat(~b.held, b.ends - b.starts)[p.used]
+            n = np.bincount(p.place[training], minlength=len(p.second)).astype(np.uint32)
+            length = np.diff(np.append(p.head, len(p.second))).astype(np.uint32)
+            bounds = np.append(np.flatnonzero(np.diff(p.shard, prepend=-1)), len(p.shard))
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                c, d = np.searchsorted(p.head, (low, high))
+                asked = _packed(p.context[c:d], length[c:d], p.second[low:high], n[low:high])
+                one = {"shard": [int(p.shard[low])], "block": [row["block"]], "asked": [asked]}
+                yield pa.RecordBatch.from_pydict(one, schema=asked_schema)
+
+    asked_schema = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("asked", pa.binary())])
 
     def answer(table: pa.Table) -> pa.Table:
         """A shard's pairs: added up, put into a trie, and looked up for the blocks that hold them."""
-        _, counts = common.value
-        of = np.append(n_starts, counts)  # how often each context is followed by a token
-        key, block, n = (table.column(c).to_numpy() for c in ("key", "block", "n"))
-        distinct, place = np.unique(key, return_inverse=True)
-        total = np.bincount(place.ravel(), n, len(distinct))
+        listed, counts = common.value
+        block, shard = table.column("block").to_pylist(), table.column("shard")[0].as_py()
+        asked = [_unpacked(x, np.int64, np.uint32, np.int64, np.uint32) for x in table.column("asked").to_pylist()]
+        contexts, of_block = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+        of_block = of_block.ravel()
+        first = np.repeat(of_block, np.concatenate([a[1] for a in asked]))
+        seconds, second = np.unique(np.concatenate([a[2] for a in asked]), return_inverse=True)
+        distinct, place = np.unique(first * len(seconds) + second.ravel(), return_inverse=True)
+        place = place.ravel()
+        total = np.bincount(place, np.concatenate([a[3] for a in asked]), len(distinct))
+        first, second = np.divmod(distinct, len(seconds))
+        # How often each context is followed by a token: all its pairs are here, or it is listed.
+        of = np.bincount(first, total, len(contexts))
+        at = np.minimum(np.searchsorted(listed, contexts), len(listed) - 1)
+        is_listed = listed[at] == contexts
+        of[is_listed] = counts[at[is_listed]]
         kept = total >= LEAST
-        first, second = distinct[kept] >> 32, distinct[kept] & 0xFFFFFFFF
-        share = (total[kept] - DISCOUNT) / of[first]
-        quanta = np.minimum(np.rint(-np.log10(share) * STEP), 65535).astype(np.int64)
-        trie = Trie(first, second, quanta, universe)
-        found = trie.find(key >> 32, key & 0xFFFFFFFF)
-        hit = found >= 0
-        # The mass that the shard's pairs take from each context goes along, to block -1.
-        contexts, at = np.unique(first, return_inverse=True)
-        mass = np.bincount(at.ravel(), 10.0 ** (-quanta / STEP), len(contexts))
+        share = (total[kept] - DISCOUNT) / of[first[kept]]
+        quanta = np.minimum(np.rint(-np.log10(share) * STEP), 65534).astype(np.int64)
+        trie = Trie(first[kept], second[kept], quanta, len(seconds))
+        found = (trie.find(first, second) + 1).astype(np.uint16)[place]
+        mass = np.bincount(first[kept], 10.0 ** (-quanta / STEP), len(contexts))
+        # The mass that the shard's pairs take from a listed context goes to block -1.
+        some = np.flatnonzero(is_listed & (mass > 0))
+        own = np.where(is_listed, 0, mass)[of_block]
+        c = np.cumsum([0, *(len(a[0]) for a in asked)])
+        p = np.cumsum([0, *(len(a[2]) for a in asked)])
+        blobs = [_packed(found[p[i] : p[i + 1]], own[c[i] : c[i + 1]]) for i in range(len(asked))]
         return pa.table(
             {
-                "block": np.append(block[hit], np.full(len(contexts), -1)),
-                "key": np.append(key[hit], contexts),
-                "value": np.append(found[hit].astype(float), mass),
+                "block": np.append(np.array(block, np.int64), np.full(len(some), -1)),
+                "key": np.append(np.full(len(block), shard), contexts[some]),
+                "value": np.append(np.zeros(len(block)), mass[some]),
+                "found": pa.array(blobs + [None] * len(some), pa.binary()),
             }
         )
 
-    shards = 2 * max(1, blocks.count())
-    shard = F.pmod(F.xxhash64(F.shiftright("key", 32), F.shiftright("key", RANGE)), F.lit(shards))
-    asked = blocks.select("block", "words", "counts", "tokens", "docs", "ends", "held").mapInArrow(pairs, "key long, block long, n long")
-    asked = asked.withColumn("shard", shard).repartition(shards, "shard")
-    answers = shared.cut(asked.groupBy("shard").applyInArrow(answer, "block long, key long, value double"))
-    taken = answers.where("block = -1").groupBy("key").agg(F.sum("value").alias("mass")).collect()
-    mass = np.zeros(universe)
-    for r in taken:
-        mass[r["key"]] = r["mass"]
-    left = context.broadcast(np.maximum(1 - mass, 1e-12))
+    asked = blocks.select("block", "words", "counts", "tokens", "docs", "ends", "held").mapInArrow(pairs, "shard long, block long, asked binary")
+    asked = asked.repartition(shards, "shard")
+    answers = shared.cut(asked.groupBy("shard").applyInArrow(answer, "block long, key long, value double, found binary"))
+    taken = {r["key"]: r["mass"] for r in answers.where("block = -1").groupBy("key").agg(F.sum("value").alias("mass")).collect()}
+    left = context.broadcast(np.maximum(1 - np.array([taken.get(w, 0.0) for w, _ in frequent]), 1e-12))
 
     # Words that no other block has need no answer: their total is the block's own.
-    counted = words.join(totals, "word").where("c <> n").select("block", F.lit(0).alias("kind"), F.col("word").alias("key"), F.col("c").cast("double").alias("value"))
-    returned = counted.union(answers.where("block >= 0").select("block", F.lit(1), "key", "value"))
+    counted = words.join(totals, "word").where("c <> n").select("block", F.col("word").alias("key"), F.col("c").cast("double").alias("value"), F.lit(None).cast("binary").alias("found"))
+    returned = counted.union(answers.where("block >= 0"))
 
     def finish(asking: pa.Table, got: pa.Table) -> pa.Table:
-        known, _ = common.value
-        kind, key, value = (got.column(c).to_numpy() for c in ("kind", "key", "value"))
-        of_word, of_pair = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
-        of_pair = of_pair[np.argsort(key[of_pair])]
+        listed, _ = common.value
+        key, value = got.column("key").to_numpy(), got.column("value").to_numpy()
+        of_shard = np.array(got.column("found").is_valid())
+        of_word, of_shard = np.flatnonzero(~of_shard), np.flatnonzero(of_shard)
+        of_shard = of_shard[np.argsort(key[of_shard])]
         out = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
         for row in asking.to_pylist():
             b = Block(row)
@@ -349,22 +411,25 @@ def score(docs: DataFrame) -> DataFrame:
             c[order[np.searchsorted(b.words, key[of_word], sorter=order)]] = value[of_word]
             unigram = (c + ADDED) / (n_tokens + ADDED * (n_words + 1))
             base = np.log10(unigram)[b.tokens]
-            first, second = b.pairs(known)
-            after = np.where(first >= 0, left.value[first], 1.0)
-            p = after * unigram[b.tokens]
-            both = np.flatnonzero((first >= 0) & (second > 0))
-            if len(of_pair) and len(both):
-                asked_key = first[both] << 32 | second[both]
-                place = np.minimum(np.searchsorted(key[of_pair], asked_key), len(of_pair) - 1)
-                hit = key[of_pair[place]] == asked_key
-                p[both[hit]] += 10.0 ** (-value[of_pair[place[hit]]] / STEP)
+            p, after = b.pairs(listed, shards, only_listed), np.ones(len(b.words) + 1)
+            answered = [_unpacked(got.column("found")[i].as_py(), np.uint16, np.float64) for i in of_shard]
+            if answered:
+                quanta, mass = (np.concatenate(x) for x in zip(*answered))
+                after[p.number] = np.maximum(1 - mass, 1e-12)
+            every = np.append(START, b.words)
+            at = np.minimum(np.searchsorted(listed, every), len(listed) - 1)
+            after = np.where(listed[at] == every, left.value[at], after)
+            full = after[b.before()] * unigram[b.tokens]
+            if answered:
+                share = np.where(quanta > 0, 10.0 ** (-(quanta - 1.0) / STEP), 0.0)
+                full[p.used] += share[p.place]
             add = lambda x: np.add.reduceat(x, b.starts)
             out["doc_id"].append(b.docs)
             out["held_out"].append(b.held)
             out["n_tokens"].append(b.ends - b.starts)
             out["n_known"].append(add((c > 0)[b.tokens].astype(np.int64)))
             out["base_score"].append(add(base))
-            out["score"].append(add(np.log10(p)))
+            out["score"].append(add(np.log10(full)))
         return pa.table({k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()})
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"

@@ -86,3 +86,14 @@ def test_elias_fano_and_trie():
     known = {p: i for i, p in enumerate(pairs)}
     assert trie.find(*asked.T).tolist() == [known.get((int(a), int(b)), -1) for a, b in asked]
     assert trie.find(first, second).tolist() == list(range(len(pairs)))
+
+
+def test_rare_words_and_pairs_seen_once_count(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_BYTES", 3000)
+    # In 40,000 tokens and more the rare pair has less than 1 / 20,000 of them.
+    rows = [(i, "the cat sat on a mat " * 100) for i in range(80)]
+    rows += [(1000, "zyx wvu"), (1001, "zyx wvu"), (1002, "qpo nml"), (1003, "qpo nml")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = M.score(docs).collect()
+    same(found, plain(rows))
+    assert all(r["score"] > r["base_score"] + 2 for r in found if r["doc_id"] >= 1000)
