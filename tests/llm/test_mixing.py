@@ -94,3 +94,29 @@ def test_query_covers_the_table(spark):
     rows = registry.queries()["op3_mixture"](spark, sf_dir).collect()
     assert len(rows) == registry.table(spark, sf_dir, "documents").count()
     assert all(abs(r["deviation"]) < 1 for r in rows)
+
+
+def most_off(blocks, weights):
+    """The largest deviation of any block from the given weights in the first phase, exactly."""
+    total = sum(map(Fraction, weights))
+    own = [p[0] for p in mixing.phases(blocks, weights)]
+    return max(abs(i + 1 - (slot + 1) * Fraction(w) / total) for w, p in zip(weights, own) for i, slot in enumerate(p["slots"]))
+
+
+def test_long_phases_keep_to_the_given_weights():
+    assert most_off([20_000] * 3, [1.0, 1.0, 1.0]) < 1
+    assert most_off([20_000] + [500] * 40, [0.5] + [0.0125] * 40) < 1
+    assert most_off([30_000, 9, 30_000], [1.0, 0.0001, math.sqrt(2)]) < 1
+    # A half stays a half with a hundred sources and more.
+    own = mixing.phases([6000] + [100] * 120, [0.5] + [0.5 / 120] * 120)[0][0]
+    assert abs(own["share"] / own["period"] - 0.5) < 1e-12
+
+
+def test_deviation_is_from_the_given_weights(spark):
+    weights = {"a": 0.9, "b": 0.0999, "c": 0.0001}
+    docs = spark.range(9000).selectExpr("id as doc_id", "if(id % 9 < 7, 'a', if(id % 9 < 8, 'b', 'c')) as source")
+    found = [r for r in mixing.mix(docs, weights=weights, block=1).collect() if r["phase"] == 1]
+    assert len(found) > 5000
+    for s, w in weights.items():
+        for i, r in enumerate(sorted((r for r in found if r["source"] == s), key=lambda r: r["slot"])):
+            assert r["deviation"] == pytest.approx(i + 1 - (r["slot"] + 1) * w, abs=1e-6) and abs(r["deviation"]) < 1
