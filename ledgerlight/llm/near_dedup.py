@@ -26,7 +26,10 @@
 
 Defined results: a null or empty text, or one of white space, has no shingle,
 is linked with nothing and kept; a text of under five words has its whole
-sequence as the one shingle; repeated rows are copies and each gets its row;
+sequence as the one shingle; repeated rows are copies and each gets its row; a row
+without doc_id is linked like any other, but is kept only if its component has
+no doc_id at all: then ``component_id`` is a number of 2**62 or more made from a set, and
+the rows with that set are the kept ones (null if there is no shingle);
 an empty table gives an empty result. Columns beside doc_id and text are ignored
 by ``groups`` and pass through ``deduplicate``.
 """
@@ -45,6 +48,7 @@ from pyspark.sql.types import LongType
 from ledgerlight.llm import shared
 
 WORDS, HASHES, CHUNKS, DISTANCE = 5, 64, 13, 24
+KINDS = ["n_shingles", "sum_a", "sum_b"]  # what tells a set
 FOLDS = 4  # of 64 places each, for what a class lacks of its centre and adds to it
 SLICES = 8  # of a signature's 16 bits a value, as many are compared
 
@@ -211,6 +215,17 @@ def _linked(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
     return _links(_overlaps(pairs, docs), similarity)
 
 
+def _nameless(docs: DataFrame) -> DataFrame:
+    """The rows without doc_id, with a number of their own in ``__row``."""
+    return shared.cut(docs.where("doc_id is null").withColumn("__row", F.monotonically_increasing_id()))
+
+
+def _told(nameless: DataFrame) -> DataFrame:
+    """(__row, what tells its set) of such rows."""
+    found = _described(nameless.select(F.col("__row").alias("doc_id"), "text"))
+    return found.select(F.col("doc_id").alias("__row"), *KINDS)
+
+
 def groups(docs: DataFrame, similarity: int = 85) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -218,15 +233,30 @@ def groups(docs: DataFrame, similarity: int = 85) -> DataFrame:
     shingle sets; ``component_id`` is the smallest doc_id reachable. ``similarity``
     must be 80 or more, for which the signature distance is made.
     """
+    return _groups(docs, similarity).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _groups(docs: DataFrame, similarity: int) -> DataFrame:
+    """What ``groups`` returns, and the sums that tell each row's set."""
     if similarity < 80:
         raise ValueError("the signature distance is made for a similarity of 80 or more")
     docs = docs.select("doc_id", "text")
     rows = shared.cut(_described(docs))
-    kinds = ["n_shingles", "sum_a", "sum_b"]
+    kinds = KINDS
     slices = [f"s{i}" for i in range(SLICES)]
-    smallest = F.min(F.struct("doc_id", *slices, "keys")).alias("r")
+    # Nulls last: only a class without any doc_id gets a number made from its set.
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", *slices, "keys")).alias("r")
     classes = rows.where("n_shingles > 0").groupBy(*kinds).agg(smallest)
-    classes = shared.cut(classes.select(*kinds, F.col("r.doc_id").alias("id"), *[f"r.{s}" for s in slices], "r.keys"))
+    made = F.pmod(F.xxhash64(*kinds), F.lit(1 << 62)) + F.lit(1 << 62)
+    named = F.coalesce("r.doc_id", made).alias("id")
+    classes = shared.cut(classes.select(*kinds, "r.nameless", named, *[f"r.{s}" for s in slices], "r.keys"))
+    unnamed = classes.where("nameless").select(*kinds, "id")
+    some_unnamed = not unnamed.isEmpty()
+    if some_unnamed:
+        nameless = _nameless(docs)
+        one = _told(nameless).groupBy(*kinds).agg(F.min("__row").alias("__row")).join(unnamed, kinds)
+        texts = shared.cut(nameless.join(one.select("__row", "id"), "__row").select(F.col("id").alias("doc_id"), "text"))
+        docs = docs.where("doc_id is not null").union(texts)
 
     keyed = classes.select("id", F.explode("keys").alias("key"))
     busy = keyed.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
@@ -290,25 +320,42 @@ def groups(docs: DataFrame, similarity: int = 85) -> DataFrame:
     ).distinct()
     final = shared.components(links.union(_linked(rest, docs, similarity)))
 
-    component = classes.join(final, "id", "left").select(
-        *kinds, F.coalesce("component", "id").alias("component_id")
-    )
+    component = classes.join(final, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
+    if some_unnamed:
+        # A component with any doc_id has the smallest one, whatever numbers were made.
+        real = component.where("not nameless").groupBy("component_id").agg(F.min("id").alias("real"))
+        component = component.join(real, "component_id", "left").select(
+            *kinds, F.coalesce("real", "component_id").alias("component_id"), F.when(F.col("nameless"), F.col("id")).alias("made")
+        )
+    else:
+        component = component.select(*kinds, "component_id")
     out = rows.select("doc_id", *kinds).join(component, kinds, "left")
     component_id = F.coalesce("component_id", "doc_id")
-    return out.select(
-        "doc_id", "n_shingles", component_id.alias("component_id"), (component_id == F.col("doc_id")).alias("kept")
-    )
+    own = F.coalesce("doc_id", "made") if some_unnamed else F.col("doc_id")
+    # Without shingles or doc_id there is no component, and nothing to drop a row for.
+    kept = F.coalesce(component_id == own, component_id.isNull())
+    return out.select("doc_id", *kinds, component_id.alias("component_id"), kept.alias("kept"))
 
 
 def deduplicate(docs: DataFrame, similarity: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, the one of the smallest doc_id.
 
-    Of repeated rows with one doc_id, one stays. Documents without words are all kept.
+    Of repeated rows with one doc_id, one stays, and so does one of the rows without
+    doc_id whose group has none. Documents without words are all kept, those
+    without doc_id each for itself.
     """
-    found = groups(docs, similarity).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"))
+    told = [F.when(F.col("doc_id").isNull(), F.col(k)).alias(k) for k in KINDS]
+    found = _groups(docs, similarity).where("kept").groupBy("doc_id", *told).agg(F.count(F.lit(1)).alias("__rows"))
     found = shared.cut(found)
-    chosen = docs.join(found, "doc_id").select(*docs.columns, "__rows")
-    once = chosen.where("__rows = 1").drop("__rows")
-    if found.where("__rows > 1").isEmpty():
-        return once
-    return once.union(chosen.where("__rows > 1").drop("__rows").dropDuplicates(["doc_id"]))
+    chosen = docs.join(found.select("doc_id", "__rows"), "doc_id").select(*docs.columns, "__rows")
+    out = chosen.where("__rows = 1").drop("__rows")
+    if not found.where("__rows > 1 and doc_id is not null").isEmpty():
+        out = out.union(chosen.where("__rows > 1").drop("__rows").dropDuplicates(["doc_id"]))
+    kinds = found.where("doc_id is null").select(*KINDS)
+    if not kinds.isEmpty():
+        nameless = _nameless(docs)
+        rows = shared.cut(_told(nameless))
+        one = rows.where("n_shingles > 0").join(kinds, KINDS, "left_semi").groupBy(*KINDS).agg(F.min("__row").alias("__row"))
+        stay = one.select("__row").union(rows.where("n_shingles = 0").select("__row"))
+        out = out.union(nameless.join(stay, "__row").select(*docs.columns))
+    return out

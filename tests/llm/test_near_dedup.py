@@ -105,3 +105,28 @@ def test_components(spark):
         root[b] = a
     found = {r["id"]: r["component"] for r in shared.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {n: find(n) for e in edges if e[0] != e[1] for n in e}
+
+
+def test_rows_without_doc_id_are_linked_and_kept_by_rule(spark):
+    words = lambda k: [f"{k}{i}" for i in range(60)]
+    a, b, c = (" ".join(words(k)) for k in "abc")
+    near = lambda k: " ".join(words(k)[:-1] + ["other"])
+    rows = [(None, a, 1), (5, a, 2), (3, a.upper(), 3), (9, near("a"), 4), (None, near("a") + " more", 5)]
+    rows += [(None, b, 6), (None, b, 7), (None, near("b"), 8), (None, None, 9), (None, " ", 10), (None, c, 11)]
+    rows += [(20, near("c"), 12), (None, "alone", 13), (21, None, 14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    found = near_dedup.groups(docs, 80).collect()
+    assert len(found) == len(rows) and all(r["kept"] is not None for r in found)
+    of_a = [r for r in found if r["component_id"] == 3]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["kept"]) for r in of_a) == [
+        (False, 3, True), (False, 5, False), (False, 9, False), (True, 0, False), (True, 0, False)
+    ]
+    of_c = [r for r in found if r["component_id"] == 20]
+    assert sorted((r["doc_id"] or 0, r["kept"]) for r in of_c) == [(0, False), (20, True)]
+    made = [r for r in found if (r["component_id"] or 0) >= 1 << 62]
+    assert sorted(sum(r["component_id"] == i for r in made) for i in {r["component_id"] for r in made}) == [1, 3]
+    assert sum(r["kept"] for r in found if r["component_id"] is None) == 2
+    kept = near_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns
+    left = sorted(r["n"] for r in kept.collect())
+    assert [n for n in left if n not in (6, 7, 8)] == [3, 9, 10, 12, 13, 14] and len(left) == 7
