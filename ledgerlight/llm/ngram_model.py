@@ -12,9 +12,10 @@ How the work is spread:
 
 1. Each partition of documents is turned into blocks of token numbers, kept in
    the checkpoint folder. Words are 64-bit hashes from here on.
-2. A block's words with their counts go out once per block, are added up by word,
-   and the totals come back to the blocks that asked. Nothing is as large as the
-   vocabulary in any one place, and a hot word costs a row per block.
+2. A block's words with their counts go out once per block, packed into one row a shard
+   by hash, are added up, and the totals come back in the order they were asked in.
+   Nothing is as large as the vocabulary in any one place, and a hot word costs a few
+   bytes per block.
 3. A block's distinct pairs, as hashes, go out once per block, packed into one row a
    shard. All pairs of a context are one shard's, which so knows how often the context is
    followed; only contexts with ``SPREAD`` of all tokens, a list of at most 1 / SPREAD,
@@ -23,7 +24,8 @@ How the work is spread:
    as Elias-Fano sequences and quantised log probabilities, in one memory-mapped level
    after the other. Successors are numbered relative to their context, and a pair is
    looked up by a successor search in the context's range. What is found goes back to
-   the blocks in the order they asked in.
+   the blocks in the order they asked in; where a block's own count is all there is, it
+   is told just that.
 4. Each block scores its documents with what came back.
 
 Defined results: a null text is an empty one, whose only token is the end; texts of
@@ -50,7 +52,7 @@ from ledgerlight.llm import labelled, shared
 SHARE = 0.0
 SPREAD = 1 / 20_000  # of all tokens; contexts that have it are dealt out to several shards
 ADDED, DISCOUNT, LEAST = 0.1, 0.5, 1
-BLOCK_BYTES = 48_000_000  # of text
+BLOCK_BYTES = 16_000_000  # of text
 STEP = 4096  # quanta of a decimal order of magnitude
 RANGES = 9  # bits of a successor's hash, by whose values the pairs of a common context are dealt out
 END = 1  # its hash; words hash to anything else but for a chance of 2**-64
@@ -175,7 +177,7 @@ class Trie:
 
 # Blocks of documents.
 
-BLOCKS = "block long, words binary, counts binary, tokens binary, docs binary, ends binary, held binary"
+BLOCKS = "block long, words binary, tokens binary, docs binary, ends binary, held binary"
 
 
 def _block(number: int, ids: list[int], held: list[bool], hashes: list[np.ndarray]) -> dict:
@@ -186,12 +188,10 @@ def _block(number: int, ids: list[int], held: list[bool], hashes: list[np.ndarra
     rank[order] = np.arange(len(order), dtype=np.uint32)
     token = rank[token.ravel()]
     ends = np.cumsum([len(h) + 1 for h in hashes])
-    training = np.repeat(~np.array(held), np.diff(np.append(0, ends)))
     planes = token.view(np.uint8).reshape(-1, 4).T  # bytes of one weight together
     return {
         "block": number,
         "words": words[order].tobytes(),
-        "counts": np.bincount(token[training], minlength=len(words)).astype(np.int64).tobytes(),
         "tokens": zstandard.compress(planes.tobytes(), 1),
         "docs": np.array(ids, np.int64).tobytes(),
         "ends": ends.astype(np.int64).tobytes(),
@@ -203,13 +203,20 @@ class Block:
     """A block's words by number, their training counts, and its documents' tokens by number."""
 
     def __init__(self, row: dict):
-        self.words = np.frombuffer(row["words"], np.int64)
-        self.counts = np.frombuffer(row["counts"], np.int64)
+        self.number, self.words = row["block"], np.frombuffer(row["words"], np.int64)
         planes = np.frombuffer(zstandard.decompress(row["tokens"]), np.uint8)
         self.tokens = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64)
         self.docs, self.ends = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["ends"], np.int64)
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.starts = np.append(0, self.ends[:-1])
+        self.training = np.repeat(~self.held, self.ends - self.starts)
+        self.counts = np.bincount(self.tokens[self.training], minlength=len(self.words))
+
+    def by_shard(self, shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words in the order of their shards, and these."""
+        shard = (shared.mixed(self.words.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        return order, shard[order]
 
     def before(self) -> np.ndarray:
         """Per token, the number of its context plus one; 0 for the start."""
@@ -235,6 +242,13 @@ class Block:
         return Pairs(used, rank[place.ravel()], first[head], number[head], head, second[order], shard)
 
 
+OWN, FIRST = 1, 2  # answers: the block's own count is all there is; quanta from 2 on; 1 below 2 is none
+
+
+def _quanta(count: np.ndarray, of: np.ndarray) -> np.ndarray:
+    return np.minimum(np.rint(-np.log10((count - DISCOUNT) / of) * STEP), 65535 - FIRST).astype(np.int64)
+
+
 class Pairs(NamedTuple):
     """The distinct pairs of a block, each context's together."""
 
@@ -246,18 +260,26 @@ class Pairs(NamedTuple):
     second: np.ndarray  # per pair, the hash of its second word
     shard: np.ndarray  # per pair, in ascending order
 
+    def counts(self, block: Block) -> np.ndarray:
+        """How often each pair is in the block's training documents."""
+        return np.bincount(self.place[block.training[self.used]], minlength=len(self.second)).astype(np.uint32)
+
 
 def _packed(*arrays: np.ndarray) -> bytes:
+    """Bytes of one weight together, compressed."""
     sizes = np.array([len(a) for a in arrays], np.int64)
-    return zstandard.compress(b"".join(a.tobytes() for a in (sizes, *arrays)), 1)
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.compress(b"".join((sizes.tobytes(), *planes)), 1)
 
 
 def _unpacked(data: bytes, *types: type) -> list[np.ndarray]:
     data = zstandard.decompress(data)
     at, out = 8 * len(types), []
     for size, kind in zip(np.frombuffer(data, np.int64, len(types)), types):
-        out.append(np.frombuffer(data, kind, size, at))
-        at += out[-1].nbytes
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, size * width, at).reshape(width, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += size * width
     return out
 
 
@@ -286,7 +308,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield done()
 
-    schema = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("words", "counts", "tokens", "docs", "ends", "held"))])
+    schema = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("words", "tokens", "docs", "ends", "held"))])
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), held.alias("held"), "text").mapInArrow(run, BLOCKS)
 
 
@@ -299,54 +321,82 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
 
 
-def _out(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    n = len(next(iter(columns.values())))
-    for low in range(0, n, 100_000):
-        yield pa.RecordBatch.from_pydict({k: pa.array(v[low : low + 100_000]) for k, v in columns.items()})
+def _training_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        ends, held = np.frombuffer(row["ends"], np.int64), np.frombuffer(row["held"], np.uint8).astype(bool)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([int(np.diff(ends, prepend=0)[~held].sum())])})
 
 
-def _block_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row in _rows(batches):
-        words, counts = np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64)
-        yield from _out({"word": words, "block": np.full(len(words), row["block"]), "n": counts})
+ASKED = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("asked", pa.binary())])
+
+
+def _asked(shard: int, block: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"shard": [int(shard)], "block": [block], "asked": [data]}, schema=ASKED)
+
+
+def _runs(shard: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each shard's entries begin and end."""
+    bounds = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
+    return zip(bounds[:-1], bounds[1:])
 
 
 def score(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     context = docs.sparkSession.sparkContext
     blocks = shared.cut(_blocks(docs))
-    words = blocks.select("block", "words", "counts").mapInArrow(_block_words, "word long, block long, n long")
-    # Both uses of the words read one shuffle.
-    words = words.repartition(F.col("word"))
-    totals = words.groupBy("word").agg(F.sum("n").alias("c"))
-    sizes = totals.where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_tokens, n_words = sizes["n"] or 0, sizes["v"]
+    sizes = blocks.select("ends", "held").mapInArrow(_training_tokens, "n long").agg(F.sum("n").alias("n"), F.count("n").alias("blocks")).first()
+    n_tokens, shards = sizes["n"] or 0, 2 * max(1, sizes["blocks"])
     # At most 1 / least words can have that share.
     only_listed, least = SHARE > 0, SHARE or SPREAD
-    much = (F.col("c") >= least * n_tokens) | (F.col("word") == END)
-    frequent = totals.where((F.col("c") > 0) & much).collect() if n_tokens else []
-    n_starts = next((r["c"] for r in frequent if r["word"] == END), 0)
-    frequent = sorted([(r["word"], r["c"]) for r in frequent if r["c"] >= least * n_tokens] + [(START, n_starts)])
+
+    def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            b = Block(row)
+            order, shard = b.by_shard(shards)
+            for low, high in _runs(shard):
+                yield _asked(shard[low], b.number, _packed(b.words[order[low:high]], b.counts[order[low:high]].astype(np.uint32)))
+
+    def totals(table: pa.Table) -> pa.Table:
+        """A shard's words: added up, with the totals for each block; to block -1 how many there are and the common ones."""
+        block, shard = table.column("block").to_pylist(), table.column("shard")[0].as_py()
+        asked = [_unpacked(x, np.int64, np.uint32) for x in table.column("asked").to_pylist()]
+        distinct, place = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+        place = place.ravel()
+        c = np.bincount(place, np.concatenate([a[1] for a in asked]), len(distinct)).astype(np.int64)
+        p = np.cumsum([0, *(len(a[0]) for a in asked)])
+        blobs = [_packed(c[place[p[i] : p[i + 1]]]) for i in range(len(asked))]
+        some = np.flatnonzero((c > 0) & ((c >= least * n_tokens) | (distinct == END)))
+        return pa.table(
+            {
+                "block": np.append(np.array(block, np.int64), np.full(len(some) + 1, -1)),
+                "key": np.concatenate([np.full(len(block), shard), distinct[some], [NO_ID]]),
+                "value": np.concatenate([np.zeros(len(block)), c[some], [(c > 0).sum()]]).astype(float),
+                "found": pa.array(blobs + [None] * (len(some) + 1), pa.binary()),
+            }
+        )
+
+    asked, answered = "shard long, block long, asked binary", "block long, key long, value double, found binary"
+    every = blocks.select("block", "words", "tokens", "docs", "ends", "held")
+    counted = every.mapInArrow(words, asked).repartition(shards, "shard").groupBy("shard").applyInArrow(totals, answered)
+    counted = shared.cut(counted)
+    told = [(r["key"], int(r["value"])) for r in counted.where("block = -1").collect()]
+    n_words = sum(c for w, c in told if w == NO_ID)
+    frequent = [(w, c) for w, c in told if w != NO_ID]
+    n_starts = next((c for w, c in frequent if w == END), 0)
+    frequent = sorted([(w, c) for w, c in frequent if c >= least * n_tokens] + [(START, n_starts)])
     # Contexts, and how often each is followed by a token.
     common = context.broadcast(tuple(np.array(x, np.int64) for x in zip(*frequent)))
-    shards = 2 * max(1, blocks.count())
 
     def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, _ = common.value
         for row in _rows(batches):
             b = Block(row)
             p = b.pairs(listed, shards, only_listed)
-            training = np.repeat(~b.held, b.ends - b.starts)[p.used]
-            n = np.bincount(p.place[training], minlength=len(p.second)).astype(np.uint32)
+            n = p.counts(b)
             length = np.diff(np.append(p.head, len(p.second))).astype(np.uint32)
-            bounds = np.append(np.flatnonzero(np.diff(p.shard, prepend=-1)), len(p.shard))
-            for low, high in zip(bounds[:-1], bounds[1:]):
+            for low, high in _runs(p.shard):
                 c, d = np.searchsorted(p.head, (low, high))
-                asked = _packed(p.context[c:d], length[c:d], p.second[low:high], n[low:high])
-                one = {"shard": [int(p.shard[low])], "block": [row["block"]], "asked": [asked]}
-                yield pa.RecordBatch.from_pydict(one, schema=asked_schema)
-
-    asked_schema = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("asked", pa.binary())])
+                yield _asked(p.shard[low], b.number, _packed(p.context[c:d], length[c:d], p.second[low:high], n[low:high]))
 
     def answer(table: pa.Table) -> pa.Table:
         """A shard's pairs: added up, put into a trie, and looked up for the blocks that hold them."""
@@ -359,7 +409,8 @@ def score(docs: DataFrame) -> DataFrame:
         seconds, second = np.unique(np.concatenate([a[2] for a in asked]), return_inverse=True)
         distinct, place = np.unique(first * len(seconds) + second.ravel(), return_inverse=True)
         place = place.ravel()
-        total = np.bincount(place, np.concatenate([a[3] for a in asked]), len(distinct))
+        n = np.concatenate([a[3] for a in asked])
+        total = np.bincount(place, n, len(distinct))
         first, second = np.divmod(distinct, len(seconds))
         # How often each context is followed by a token: all its pairs are here, or it is listed.
         of = np.bincount(first, total, len(contexts))
@@ -367,10 +418,11 @@ def score(docs: DataFrame) -> DataFrame:
         is_listed = listed[at] == contexts
         of[is_listed] = counts[at[is_listed]]
         kept = total >= LEAST
-        share = (total[kept] - DISCOUNT) / of[first[kept]]
-        quanta = np.minimum(np.rint(-np.log10(share) * STEP), 65534).astype(np.int64)
+        quanta = _quanta(total[kept], of[first[kept]])
         trie = Trie(first[kept], second[kept], quanta, len(seconds))
-        found = (trie.find(first, second) + 1).astype(np.uint16)[place]
+        found, more = np.full(len(n), OWN, np.uint16), np.flatnonzero(n != total[place])
+        wanted, which = np.unique(place[more], return_inverse=True)
+        found[more] = (trie.find(first[wanted], second[wanted]) + FIRST).clip(0).astype(np.uint16)[which.ravel()]
         mass = np.bincount(first[kept], 10.0 ** (-quanta / STEP), len(contexts))
         # The mass that the shard's pairs take from a listed context goes to block -1.
         some = np.flatnonzero(is_listed & (mass > 0))
@@ -387,42 +439,44 @@ def score(docs: DataFrame) -> DataFrame:
             }
         )
 
-    asked = blocks.select("block", "words", "counts", "tokens", "docs", "ends", "held").mapInArrow(pairs, "shard long, block long, asked binary")
-    asked = asked.repartition(shards, "shard")
-    answers = shared.cut(asked.groupBy("shard").applyInArrow(answer, "block long, key long, value double, found binary"))
+    paired = every.mapInArrow(pairs, asked).repartition(shards, "shard")
+    answers = shared.cut(paired.groupBy("shard").applyInArrow(answer, answered))
     taken = {r["key"]: r["mass"] for r in answers.where("block = -1").groupBy("key").agg(F.sum("value").alias("mass")).collect()}
     left = context.broadcast(np.maximum(1 - np.array([taken.get(w, 0.0) for w, _ in frequent]), 1e-12))
 
-    # Words that no other block has need no answer: their total is the block's own.
-    counted = words.join(totals, "word").where("c <> n").select("block", F.col("word").alias("key"), F.col("c").cast("double").alias("value"), F.lit(None).cast("binary").alias("found"))
-    returned = counted.union(answers.where("block >= 0"))
+    returned = counted.where("block >= 0").select("block", F.lit(0).alias("kind"), "key", "found")
+    returned = returned.union(answers.where("block >= 0").select("block", F.lit(1), "key", "found"))
 
     def finish(asking: pa.Table, got: pa.Table) -> pa.Table:
         listed, _ = common.value
-        key, value = got.column("key").to_numpy(), got.column("value").to_numpy()
-        of_shard = np.array(got.column("found").is_valid())
-        of_word, of_shard = np.flatnonzero(~of_shard), np.flatnonzero(of_shard)
-        of_shard = of_shard[np.argsort(key[of_shard])]
+        kind, key = got.column("kind").to_numpy(), got.column("key").to_numpy()
+
+        def answers_of(k: int, *types: type) -> list[np.ndarray]:
+            """In the order the block asked in."""
+            which = np.flatnonzero(kind == k)
+            data = [_unpacked(got.column("found")[i].as_py(), *types) for i in which[np.argsort(key[which])]]
+            return [np.concatenate(x) for x in zip(*data)] or [np.zeros(0, t) for t in types]
+
         out = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
         for row in asking.to_pylist():
             b = Block(row)
-            c = b.counts.astype(float)
-            order = np.argsort(b.words)
-            c[order[np.searchsorted(b.words, key[of_word], sorter=order)]] = value[of_word]
+            c = np.zeros(len(b.words))
+            c[b.by_shard(shards)[0]] = answers_of(0, np.int64)[0]
             unigram = (c + ADDED) / (n_tokens + ADDED * (n_words + 1))
             base = np.log10(unigram)[b.tokens]
             p, after = b.pairs(listed, shards, only_listed), np.ones(len(b.words) + 1)
-            answered = [_unpacked(got.column("found")[i].as_py(), np.uint16, np.float64) for i in of_shard]
-            if answered:
-                quanta, mass = (np.concatenate(x) for x in zip(*answered))
-                after[p.number] = np.maximum(1 - mass, 1e-12)
+            quanta, mass = answers_of(1, np.uint16, np.float64)
+            after[p.number] = np.maximum(1 - mass, 1e-12)
             every = np.append(START, b.words)
             at = np.minimum(np.searchsorted(listed, every), len(listed) - 1)
             after = np.where(listed[at] == every, left.value[at], after)
             full = after[b.before()] * unigram[b.tokens]
-            if answered:
-                share = np.where(quanta > 0, 10.0 ** (-(quanta - 1.0) / STEP), 0.0)
-                full[p.used] += share[p.place]
+            n, of = p.counts(b), np.append(n_starts, c)[np.repeat(p.number, np.diff(np.append(p.head, len(p.second))))]
+            quanta = quanta.astype(np.int64) - FIRST
+            alone = np.flatnonzero((quanta == OWN - FIRST) & (n >= LEAST))
+            quanta[alone] = _quanta(n[alone], of[alone])
+            share = np.where(quanta >= 0, 10.0 ** (-quanta / STEP), 0.0)
+            full[p.used] += share[p.place]
             add = lambda x: np.add.reduceat(x, b.starts)
             out["doc_id"].append(b.docs)
             out["held_out"].append(b.held)
