@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.llm import bpe, exact_topk, hnsw, mixing, near_dedup, ngram_model, quality, secrets, suffix_dedup, toxicity
+from ledgerlight.llm import (
+    bpe,
+    exact_topk,
+    hnsw,
+    mixing,
+    near_dedup,
+    ngram_model,
+    periodic_runs,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,8 +55,15 @@ def queries() -> dict[str, Query]:
         "op8_exact_top_k": _over("embeddings", exact_topk.report),
         "op9_near_dedup": _over("documents", near_dedup.groups),
         "op10_toxicity": _learned(toxicity.report),
+        "op11_url_filter": _over("pages", url_filter.report),
+        "op12_whitening": _over("embeddings", whitening.report),
+        "op13_periodic_runs": _over("documents", periodic_runs.report),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secrets.oracle(), "op8_exact_top_k": exact_topk.oracle()}
+    return {
+        "op1_secret_scan": secrets.oracle(),
+        "op8_exact_top_k": exact_topk.oracle(),
+        "op11_url_filter": url_filter.oracle(),
+    }

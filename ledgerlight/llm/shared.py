@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,11 +14,17 @@ def cut(df: DataFrame) -> DataFrame:
 
     A folder of our own is set only where the session names none, as in tests.
     """
-    context = df.sparkSession.sparkContext
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's own folder below ``spark.checkpoint.dir``, where tables can be stored too."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    return context.getCheckpointDir()
 
 
 def components(edges: DataFrame) -> DataFrame:
