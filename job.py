@@ -1,7 +1,10 @@
 """Jobs for spark-submit.
 
     spark-submit job.py sync   --landed DIR --out DIR [--previous DIR] --at 2024-06-15T00:00:00
+    spark-submit job.py sync   --landed DIR --store DIR --at 2024-06-15T00:00:00
     spark-submit job.py stream --landed DIR --out DIR [--previous DIR] --at 2024-06-15T00:00:00
+    spark-submit job.py stream --landed DIR --store DIR --at 2024-06-15T00:00:00
+    spark-submit job.py compact --store DIR [--keep VERSIONS]
     spark-submit job.py build  --operational DIR --payments DIR --out DIR --as-of 2024-06-15 [--only NAME ...]
     spark-submit job.py counts --operational DIR --payments DIR
 
@@ -20,7 +23,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlight.plans import kpi, pipeline  # noqa: E402
-from ledgerlight.streaming.payments import sync_stream  # noqa: E402
+from ledgerlight.sources import keyed  # noqa: E402
+from ledgerlight.streaming.payments import merge_stream, sync_stream  # noqa: E402
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,7 +36,10 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--max-files", type=int)
     for sub, default in ((sync, "error"), (stream, "latest")):
         sub.add_argument("--landed", required=True)
-        sub.add_argument("--out", required=True)
+        kept = sub.add_mutually_exclusive_group(required=True)
+        kept.add_argument("--out")
+        kept.add_argument("--store", help="keyed tables, of which a merge writes only the files that it touches")
+        sub.add_argument("--buckets", type=int, default=64, help="of a store's tables, when they are created")
         sub.add_argument("--at", type=dt.datetime.fromisoformat, required=True)
         sub.add_argument("--on-missing", choices=["fail", "reject"], default="fail")
         sub.add_argument("--on-duplicate", choices=["error", "latest"], default=default)
@@ -40,6 +47,11 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--page-per-line", action="store_true")
         sub.add_argument("--by-name", action="store_true", help="pages follow each other by name, not by time")
 
+    stream.add_argument("--compact-after", type=int, default=20, help="delta runs of a store's table")
+    compact = commands.add_parser("compact", help="merge the delta runs of a store, and delete versions no longer kept")
+    compact.add_argument("--store", required=True)
+    compact.add_argument("--keep", type=int)
+
     build = commands.add_parser("build", help="store the quality report, the marts and the KPIs")
     place = build.add_mutually_exclusive_group(required=True)
     place.add_argument("--out")
@@ -59,21 +71,35 @@ def main(arguments: list[str] | None = None) -> None:
     if args.command == "build" and bool(args.database) != bool(args.run):
         raise SystemExit("--database and --run go together")
     spark = SparkSession.builder.getOrCreate()
+    if args.command in ("sync", "stream") and args.store and args.previous:
+        raise SystemExit("a store goes on from itself, not from --previous")
     if args.command == "sync":
-        rejected = pipeline.sync_payments(
-            spark, args.landed, args.out, args.at, args.previous, args.on_missing, args.on_duplicate,
-            args.page_per_line, args.by_name,
-        )
+        how = (args.on_missing, args.on_duplicate, args.page_per_line, args.by_name)
+        if args.store:
+            rejected = pipeline.sync_keyed(spark, args.landed, args.store, args.at, *how, args.buckets)
+        else:
+            rejected = pipeline.sync_payments(spark, args.landed, args.out, args.at, args.previous, *how)
         for table, count in rejected.items():
-            print(f"{count} records of {table} rejected, kept under {args.out}/rejects/{table}")
+            print(f"{count} records of {table} rejected, kept under {args.store or args.out}/rejects/{table}")
     elif args.command == "stream":
         for table in pipeline.PAYMENT_LISTS:
-            query = sync_stream(
-                spark, args.landed, table, args.out, args.at, max_files=args.max_files,
-                on_missing=args.on_missing, on_duplicate=args.on_duplicate, previous=args.previous,
-                page_per_line=args.page_per_line, by_name=args.by_name,
-            )
+            how = {
+                "max_files": args.max_files, "on_missing": args.on_missing, "on_duplicate": args.on_duplicate,
+                "page_per_line": args.page_per_line, "by_name": args.by_name,
+            }
+            if args.store:
+                query = merge_stream(
+                    spark, args.landed, table, args.store, args.at, **how, compact_after=args.compact_after, buckets=args.buckets
+                )
+            else:
+                query = sync_stream(spark, args.landed, table, args.out, args.at, **how, previous=args.previous)
             query.awaitTermination()
+    elif args.command == "compact":
+        for table in pipeline.PAYMENT_LISTS:
+            target = pipeline.keyed_table(args.store, table)
+            keyed.compact(spark, target)
+            if args.keep:
+                keyed.vacuum(spark, target, args.keep)
     else:
         only = args.only if args.command == "build" else pipeline.STORED
         sources = pipeline.stored_sources(spark, args.operational, args.payments, only)

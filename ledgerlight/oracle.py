@@ -501,7 +501,7 @@ def _upserts() -> dict[str, str]:
     pending = f"coalesce(canceled_at >= {FIRST_SYNC_EPOCH}, false)"
     absent, lost = "regexp_matches(id, '[01]$')", "regexp_matches(id, '[23]$')"
     synced = f"case when again then {SECOND_SYNC} else {FIRST_SYNC} end as synced_at"
-    return {
+    merged = {
         "upsert_customers": _sql(
             f"""
             , early as (select *, created < 1696118400 + 90 * 86400 as there, not {absent} as again from pay_customers)
@@ -555,6 +555,9 @@ def _upserts() -> dict[str, str]:
             "pay_charges",
         ),
     }
+    # However a table is kept, a merge gives the same rows.
+    stored = {f"upsert_{t}_stored": merged[f"upsert_{t}"] for t in ("customers", "subscriptions", "charges", "invoices")}
+    return merged | stored | {"upsert_charges_appended": merged["upsert_charges"]}
 
 
 def statements(cursor: str, customer: str) -> dict[str, str]:

@@ -13,12 +13,13 @@ from ledgerlight.operators import quality as Q
 from ledgerlight.operators.upsert import merge_by_key, one_row_per_key
 from ledgerlight.plans import ingest, kpi, marts, quality, staging
 from ledgerlight.schemas import TABLES
-from ledgerlight.sources import landed
+from ledgerlight.sources import keyed, landed
 from ledgerlight.sources.tables import (
     Sources,
     conform,
     newest_snapshot,
     parquet_sources,
+    path_of,
     read_table,
     save_bucketed,
     write_table,
@@ -89,6 +90,12 @@ def save_marts(frames: Mapping[str, DataFrame], database: str, run_id: str) -> N
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{name}_{run_id}")
 
 
+def batch_of_pages(pages: DataFrame, table: str, on_missing: str = "fail", on_duplicate: str = "error") -> DataFrame:
+    """The rows of a list's pages, one per key, as a merge takes them."""
+    rows = ingest.flatten(landed.records(pages), table, on_missing, keep_order=True)
+    return one_row_per_key(rows, ingest.MERGES[table], ingest.ORDER, on_duplicate)
+
+
 def merged_pages(
     pages: DataFrame,
     table: str,
@@ -99,8 +106,7 @@ def merged_pages(
 ) -> DataFrame:
     """The table after upserting pages of one list over ``previous`` (None: no rows yet)."""
     spec = ingest.MERGES[table]
-    rows = ingest.flatten(landed.records(pages), table, on_missing, keep_order=True)
-    batch = one_row_per_key(rows, spec, ingest.ORDER, on_duplicate)
+    batch = batch_of_pages(pages, table, on_missing, on_duplicate)
     if previous is None:
         return conform(batch.withColumn(spec.touch, X.timestamp(synced_at)), f"stripe.{table}")
     return merge_by_key(previous, batch, spec, synced_at)
@@ -149,6 +155,39 @@ def sync_payments(
     return rejected
 
 
+def keyed_table(store: str, table: str, buckets: int = 64, file_rows: int = 4_000_000) -> keyed.KeyedTable:
+    """A payment table kept as files with key filters under ``store``."""
+    return keyed.KeyedTable(path_of(store, f"stripe.{table}"), f"stripe.{table}", ingest.MERGES[table], buckets, file_rows)
+
+
+def sync_keyed(
+    spark: SparkSession,
+    landed_dir: str,
+    store: str,
+    synced_at: dt.datetime,
+    on_missing: str = "fail",
+    on_duplicate: str = "error",
+    page_per_line: bool = False,
+    by_name: bool = False,
+    buckets: int = 64,
+) -> dict[str, int]:
+    """Merge landed pages into the keyed tables under ``store``, writing only the files that they touch.
+
+    Each table changes over to its new version at once, and a failed run leaves it as it
+    was. Rejected records are kept under ``store/rejects`` and counted, as by ``sync_payments``.
+    """
+    _check_order(page_per_line, on_duplicate)
+    rejected = {}
+    for table in PAYMENT_LISTS:
+        pages = landed.read_pages(spark, f"{landed_dir}/{table}", table, page_per_line, by_name)
+        keyed.merge(spark, keyed_table(store, table, buckets), batch_of_pages(pages, table, on_missing, on_duplicate), synced_at)
+        if on_missing == "reject":
+            path = f"{store.rstrip('/')}/rejects/{table}"
+            rejected_rows(pages, table).write.mode("overwrite").parquet(path)
+            rejected[table] = spark.read.parquet(path).count()
+    return rejected
+
+
 def _buckets(spark: SparkSession, name: str) -> int | None:
     """The number of buckets of a catalog table; None if it is not bucketed."""
     found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
@@ -205,18 +244,25 @@ def stored_sources(
 ) -> Sources:
     """The product tables under one directory and the payment tables under another.
 
-    The latter is what a sync wrote, or the snapshots of a stream, of which each
-    table's newest is read. Only tables that ``only`` needs have to be there.
+    The latter is what a sync wrote, the keyed tables of a sync or a stream, or the
+    snapshots of a stream, of which each table's newest is read. Only tables that ``only``
+    needs have to be there.
     """
     needed = needed_tables(only)
     lists = [t for t in PAYMENT_LISTS if f"stripe.{t}" in needed]
-    folders = {t: newest_snapshot(spark, payments, t) or payments for t in lists}
     return {
         **parquet_sources(spark, operational, [t for t in OPERATIONAL if t in needed]),
-        **{f"stripe.{t}": read_table(spark, folder, f"stripe.{t}") for t, folder in folders.items()},
+        **{f"stripe.{t}": _payment_table(spark, payments, t) for t in lists},
     }
 
 
+def _payment_table(spark: SparkSession, payments: str, table: str) -> DataFrame:
+    target = keyed_table(payments, table)
+    if keyed.current(spark, target) is not None:
+        return keyed.read(spark, target)
+    return read_table(spark, newest_snapshot(spark, payments, table) or payments, f"stripe.{table}")
+
+
 def run(
     spark: SparkSession,
     sources: Sources,

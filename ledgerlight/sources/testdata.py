@@ -8,6 +8,8 @@ derived by plain arithmetic, which ``oracle`` repeats in SQL.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,6 +179,12 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
     return {name: table(spark, sf_dir, name) for name in TABLES}
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which a cluster shares; a temporary one where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerlight-")
+    return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
 # --- landed pages -----------------------------------------------------------
 
 
