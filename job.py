@@ -5,7 +5,10 @@
     spark-submit job.py stream --landed DIR --out DIR [--previous DIR] --at 2024-06-15T00:00:00
     spark-submit job.py stream --landed DIR --store DIR --at 2024-06-15T00:00:00
     spark-submit job.py compact --store DIR [--keep VERSIONS]
+    spark-submit job.py sync   --landed DIR --database DB --run ID [--previous-run ID] --at 2024-06-15T00:00:00
     spark-submit job.py build  --operational DIR --payments DIR --out DIR --as-of 2024-06-15 [--only NAME ...]
+    spark-submit job.py build  --operational DIR --payments DIR --database DB --run ID --as-of 2024-06-15
+    spark-submit job.py build  --operational-database DB --payments-database DB --database DB --run ID --as-of 2024-06-15
     spark-submit job.py counts --operational DIR --payments DIR
 
 The session, with its resources and shared checkpoint folder, comes from the cluster.
@@ -17,6 +20,7 @@ import argparse
 import datetime as dt
 import os
 import sys
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlight.plans import kpi, pipeline  # noqa: E402
 from ledgerlight.sources import keyed  # noqa: E402
+from ledgerlight.sources.tables import Sources, catalog_sources  # noqa: E402
 from ledgerlight.streaming.payments import merge_stream, sync_stream  # noqa: E402
 
 
@@ -38,8 +43,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--landed", required=True)
         kept = sub.add_mutually_exclusive_group(required=True)
         kept.add_argument("--out")
+        if sub is sync:
+            kept.add_argument("--database", help="catalog tables bucketed by id; needs --run")
         kept.add_argument("--store", help="keyed tables, of which a merge writes only the files that it touches")
-        sub.add_argument("--buckets", type=int, default=64, help="of a store's tables, when they are created")
+        sub.add_argument("--buckets", type=int, default=64, help="of catalog tables, and of a store's when they are created")
         sub.add_argument("--at", type=dt.datetime.fromisoformat, required=True)
         sub.add_argument("--on-missing", choices=["fail", "reject"], default="fail")
         sub.add_argument("--on-duplicate", choices=["error", "latest"], default=default)
@@ -47,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--page-per-line", action="store_true")
         sub.add_argument("--by-name", action="store_true", help="pages follow each other by name, not by time")
 
+    sync.add_argument("--run", help="names this run's catalog tables, behind views of the plain names")
+    sync.add_argument("--previous-run")
     stream.add_argument("--compact-after", type=int, default=20, help="delta runs of a store's table")
     compact = commands.add_parser("compact", help="merge the delta runs of a store, and delete versions no longer kept")
     compact.add_argument("--store", required=True)
@@ -61,14 +70,28 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--only", nargs="+", choices=pipeline.STORED, default=pipeline.STORED)
     counts = commands.add_parser("counts", help="print the row count of every table")
     for sub in (build, counts):
-        sub.add_argument("--operational", required=True)
-        sub.add_argument("--payments", required=True)
+        for name in ("operational", "payments"):
+            place = sub.add_mutually_exclusive_group(required=True)
+            place.add_argument(f"--{name}")
+            place.add_argument(f"--{name}-database", help="catalog tables instead of a folder")
     return root
 
 
+def sources_of(spark: SparkSession, args: argparse.Namespace, only: Sequence[str]) -> tuple[Sources, dict[str, str]]:
+    """The sources that a build or count reads, and where they lie."""
+    databases = args.operational_database, args.payments_database
+    if any(databases):
+        if not all(databases):
+            raise SystemExit("--operational-database and --payments-database go together")
+        named = dict(zip(("", "stripe"), databases))
+        return catalog_sources(spark, named, pipeline.needed_tables(only)), pipeline.catalog_origins(named, only)
+    folders = args.operational, args.payments
+    return pipeline.stored_sources(spark, *folders, only), pipeline.stored_origins(spark, *folders, only)
+
+
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    if args.command == "build" and bool(args.database) != bool(args.run):
+    if args.command in ("build", "sync") and bool(args.database) != bool(args.run):
         raise SystemExit("--database and --run go together")
     spark = SparkSession.builder.getOrCreate()
     if args.command in ("sync", "stream") and args.store and args.previous:
@@ -77,10 +100,15 @@ def main(arguments: list[str] | None = None) -> None:
         how = (args.on_missing, args.on_duplicate, args.page_per_line, args.by_name)
         if args.store:
             rejected = pipeline.sync_keyed(spark, args.landed, args.store, args.at, *how, args.buckets)
+        elif args.database:
+            rejected = pipeline.sync_payment_tables(
+                spark, args.landed, args.database, args.run, args.at, args.buckets, args.previous_run, *how
+            )
         else:
             rejected = pipeline.sync_payments(spark, args.landed, args.out, args.at, args.previous, *how)
         for table, count in rejected.items():
-            print(f"{count} records of {table} rejected, kept under {args.store or args.out}/rejects/{table}")
+            place = f"{args.store or args.out}/rejects/{table}" if not args.database else f"{args.database}.{table}_{args.run}_rejects"
+            print(f"{count} records of {table} rejected, kept under {place}")
     elif args.command == "stream":
         for table in pipeline.PAYMENT_LISTS:
             how = {
@@ -102,9 +130,9 @@ def main(arguments: list[str] | None = None) -> None:
                 keyed.vacuum(spark, target, args.keep)
     else:
         only = args.only if args.command == "build" else pipeline.STORED
-        sources = pipeline.stored_sources(spark, args.operational, args.payments, only)
+        sources, origins = sources_of(spark, args, only)
         if args.command == "build":
-            pipeline.run(spark, sources, args.database or args.out, args.as_of, only, args.run)
+            pipeline.run(spark, sources, args.database or args.out, args.as_of, only, args.run, origins)
         else:
             kpi.table_counts(sources).show(truncate=False)
 

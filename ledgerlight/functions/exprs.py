@@ -26,11 +26,20 @@ def day(ts: Column) -> Column:
     return ts.cast("date")
 
 
+def whole_days_sql(later: str, earlier: str) -> str:
+    return f"CAST(extract(DAY FROM {later} - {earlier}) AS BIGINT)"
+
+
 def whole_days(later: Column, earlier: Column) -> Column:
     """Full 24-hour days between two timestamps, truncated toward zero."""
     return F.extract(F.lit("DAY"), later - earlier).cast("bigint")
 
 
+def from_epoch_sql(seconds: str) -> str:
+    """Epoch seconds as UTC wall time."""
+    return f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + {seconds} * {SECOND}"
+
+
 def from_epoch(seconds: Column) -> Column:
     """Epoch seconds as UTC wall time."""
     return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + seconds * F.expr(SECOND)
@@ -63,6 +72,11 @@ def as_date(value: dt.date | dt.datetime) -> dt.date:
     return value.date() if isinstance(value, dt.datetime) else value
 
 
+def units_sql(cents: str) -> str:
+    """Integer cents as exact currency units."""
+    return f"CAST(CAST({cents} AS DECIMAL(18,0)) / CAST(100 AS DECIMAL(3,0)) AS {MONEY})"
+
+
 def units(cents: Column, decimal_type: str = MONEY) -> Column:
     """Integer cents as exact currency units."""
     return (cents.cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast(decimal_type)
@@ -91,9 +105,9 @@ def percent(part: Column, whole: Column) -> Column:
     return rounded_ratio(part * 100, whole, 2)
 
 
-def is_active(status: Column) -> Column:
+def is_active_sql(status: str) -> str:
     """Never NULL: an unknown status is inactive."""
-    return F.coalesce(status == "active", F.lit(False))
+    return f"coalesce({status} = 'active', false)"
 
 
 def hashed_id(prefix: str, *parts: Column) -> Column:

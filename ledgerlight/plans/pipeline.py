@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlight.functions import exprs as X
 from ledgerlight.operators import quality as Q
 from ledgerlight.operators.upsert import merge_by_key, one_row_per_key
-from ledgerlight.plans import ingest, kpi, marts, quality, staging
+from ledgerlight.plans import ingest, kpi, marts, quality, release, staging
 from ledgerlight.schemas import TABLES
 from ledgerlight.sources import keyed, landed
 from ledgerlight.sources.tables import (
@@ -25,13 +25,7 @@ from ledgerlight.sources.tables import (
     write_table,
 )
 
-STAGING = {
-    "stg_users": ("users", staging.stg_users),
-    "stg_subscriptions": ("subscriptions", staging.stg_subscriptions),
-    "stg_events": ("events", staging.stg_events),
-    "stg_stripe_customers": ("stripe.customers", staging.stg_stripe_customers),
-    "stg_stripe_subscriptions": ("stripe.subscriptions", staging.stg_stripe_subscriptions),
-}
+STAGING = {name: (table, getattr(staging, name)) for name, table in staging.SOURCES.items()}
 OPERATIONAL = ("users", "subscriptions", "events", "stripe_charges")
 MARTS = ("fct_mrr_by_month", "fct_user_metrics", "fct_activation_funnel", "fct_revenue_attribution")
 STORED = ("data_quality", *MARTS, "kpi_summary")
@@ -76,20 +70,6 @@ def write_marts(frames: Mapping[str, DataFrame], out: str) -> None:
         df.write.mode("overwrite").parquet(f"{out}/{name}")
 
 
-def save_marts(frames: Mapping[str, DataFrame], database: str, run_id: str) -> None:
-    """Store tables ``<name>_<run_id>`` in a catalog database, then point the views ``<name>`` at them.
-
-    Readers keep the earlier tables until all new ones are complete. Repeating a
-    run replaces its own tables only.
-    """
-    spark = next(iter(frames.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, df in frames.items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}_{run_id}")
-    for name in frames:
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{name}_{run_id}")
-
-
 def batch_of_pages(pages: DataFrame, table: str, on_missing: str = "fail", on_duplicate: str = "error") -> DataFrame:
     """The rows of a list's pages, one per key, as a merge takes them."""
     rows = ingest.flatten(landed.records(pages), table, on_missing, keep_order=True)
@@ -263,6 +243,22 @@ def _payment_table(spark: SparkSession, payments: str, table: str) -> DataFrame:
     return read_table(spark, newest_snapshot(spark, payments, table) or payments, f"stripe.{table}")
 
 
+def stored_origins(spark: SparkSession, operational: str, payments: str, only: Collection[str] = STORED) -> dict[str, str]:
+    """The folders of those ``stored_sources`` that have one: keyed tables have many files, of which versions choose."""
+    needed = needed_tables(only)
+    origins = {t: path_of(operational, t) for t in OPERATIONAL if t in needed}
+    for t in PAYMENT_LISTS:
+        if f"stripe.{t}" in needed and keyed.current(spark, keyed_table(payments, t)) is None:
+            origins[f"stripe.{t}"] = path_of(newest_snapshot(spark, payments, t) or payments, f"stripe.{t}")
+    return origins
+
+
+def catalog_origins(databases: Mapping[str, str], only: Collection[str] = STORED) -> dict[str, str]:
+    """The catalog names of the tables that ``only`` needs; ``databases`` as for ``catalog_sources``."""
+    split = {t: t.rpartition(".") for t in TABLES if t in needed_tables(only)}
+    return {t: f"{databases[schema]}.{name}" for t, (schema, _, name) in split.items()}
+
+
 def run(
     spark: SparkSession,
     sources: Sources,
@@ -270,12 +266,15 @@ def run(
     as_of: dt.date,
     only: Collection[str] = STORED,
     run_id: str | None = None,
+    origins: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Build and store what is named in ``only``: the quality report, marts and KPIs.
 
     Only the tables that these need are read. Registers the staging views;
     returns what was stored, read back. ``out`` is a folder, or with a ``run_id`` a
-    catalog database, in which views change over once all tables are complete.
+    catalog database, in which all views change over together once all tables are
+    complete. There the staging views are kept too: over the sources' ``origins``, and
+    stored for those without one.
     """
     unknown = sorted(set(only) - set(STORED))
     if unknown:
@@ -295,7 +294,8 @@ def run(
         frames["kpi_summary"] = kpi.kpi_summary(sources)
     chosen = {name: frames[name] for name in only}
     if run_id is not None:
-        save_marts(chosen, out, run_id)
+        loose = {name: df for name, df in staged.items() if origins is not None and staging.SOURCES[name] not in origins}
+        release.save(spark, out, run_id, chosen | loose, origins)
         return {name: spark.table(f"{out}.{name}") for name in only}
     write_marts(chosen, out)
     return {name: spark.read.parquet(f"{out}/{name}") for name in only}

@@ -245,22 +245,3 @@ def test_pipeline_stores_the_marts_and_reruns_to_the_same_tables(spark, tmp_path
         pipeline.run(spark, stored, out, R.AS_OF, only=["fct_nothing"])
     assert spark.sql("SELECT count(*) FROM stg_users WHERE is_activated").first()[0] == 2
     assert spark.read.parquet(f"{out}/data_quality").count() > 0
-
-
-def test_marts_as_catalog_tables(spark):
-    staged = {
-        "stg_users": staging.stg_users(R.users(spark, R.USERS)),
-        "stg_subscriptions": staging.stg_subscriptions(R.subscriptions(spark, R.SUBSCRIPTIONS)),
-        "stg_events": staging.stg_events(R.events(spark, R.EVENTS)),
-        "stg_stripe_customers": staging.stg_stripe_customers(R.payment_customers(spark, [])),
-        "stg_stripe_subscriptions": staging.stg_stripe_subscriptions(R.payment_subscriptions(spark, [])),
-    }
-    for run in ("one", "one", "two"):
-        pipeline.save_marts(pipeline.build_marts(staged, R.AS_OF), "analytics", run)
-        assert spark.table("analytics.fct_mrr_by_month").count() == 3
-        assert spark.table("analytics.fct_revenue_attribution").count() == 0
-    # a run that fails leaves the earlier tables to the readers
-    bad = staged["stg_users"].select(F.raise_error(F.lit("broken")).alias("x"))
-    with pytest.raises(Exception, match="broken"):
-        pipeline.save_marts({"fct_mrr_by_month": bad.limit(0), "fct_user_metrics": bad}, "analytics", "three")
-    assert spark.table("analytics.fct_mrr_by_month").count() == 3

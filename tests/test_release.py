@@ -1,0 +1,156 @@
+"""Releases of marts and staging views: every view shows one release, whatever fails."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+import job
+import rows as R
+from ledgerlight.plans import pipeline, release, staging
+from ledgerlight.sources import tables
+from test_ingest import DAY1, DAY2, land_day
+
+
+def operational(spark, base, users):
+    tables.write_table(R.users(spark, users), base, "users")
+    tables.write_table(R.subscriptions(spark, R.SUBSCRIPTIONS), base, "subscriptions")
+    tables.write_table(R.events(spark, R.EVENTS), base, "events")
+    tables.write_table(tables.empty(spark, "stripe_charges"), base, "stripe_charges")
+
+
+def frames(spark, n):
+    """Two small results of release n."""
+    return {"one": spark.range(n).withColumn("n", F.lit(n)), "two": spark.range(2).select(F.lit(n).alias("n"))}
+
+
+def shown(spark, database):
+    """What each view shows: the number of the release, by content."""
+    found = {name: {r["n"] for r in spark.table(f"{database}.{name}").collect()} for name in ("one", "two")}
+    found["stg_users"] = {r["user_id"] for r in spark.table(f"{database}.stg_users").collect()}
+    found["stg_events"] = {r["event_id"] for r in spark.table(f"{database}.stg_events").collect()}
+    return found
+
+
+def origins(spark, tmp_path, n):
+    base = str(tmp_path / f"src{n}")
+    tables.write_table(R.users(spark, [(n, "a@x", "2024-01-01", None, None)]), base, "users")
+    tables.write_table(R.events(spark, [(n, 1, "2024-01-01")]), base, "events")
+    return {t: tables.path_of(base, t) for t in ("users", "events")}
+
+
+def test_a_failure_after_any_write_leaves_every_view_on_one_release(spark, tmp_path, monkeypatch):
+    whole = {n: {"one": {n}, "two": {n}, "stg_users": {n}, "stg_events": {n}} for n in (1, 2)}
+    old, new = origins(spark, tmp_path, 1), origins(spark, tmp_path, 2)
+    release.save(spark, "rel", "r1", frames(spark, 1), old)
+    assert shown(spark, "rel") == whole[1]
+    run, insert = release._run, release._insert
+    steps = 0
+
+    class Lost(Exception):
+        pass
+
+    def failing(after):
+        left = [after]
+
+        def step(f):
+            def stepped(*args):
+                if left[0] == 0:
+                    raise Lost
+                left[0] -= 1
+                f(*args)
+
+            return stepped
+
+        monkeypatch.setattr(release, "_run", step(run))
+        monkeypatch.setattr(release, "_insert", step(insert))
+
+    seen = []
+    while True:
+        failing(steps)
+        try:
+            release.save(spark, "rel", "r2", frames(spark, 2), new)
+            break
+        except Lost:
+            seen.append(shown(spark, "rel"))
+            assert seen[-1] in whole.values()
+        steps += 1
+        if seen[-1] == whole[2]:  # published: go on from the old release, as if it had failed before
+            monkeypatch.setattr(release, "_run", run)
+            monkeypatch.setattr(release, "_insert", insert)
+            release.save(spark, "rel", "r1", frames(spark, 1), old)
+            assert shown(spark, "rel") == whole[1]
+    assert shown(spark, "rel") == whole[2] and steps >= 12
+    assert seen.count(whole[1]) >= 9 and seen.count(whole[2]) >= 2
+    monkeypatch.undo()
+    assert "UNION" not in spark.sql("SHOW CREATE TABLE rel.stg_users").first()[0].upper()
+
+
+def test_only_the_shown_release_is_read(spark):
+    for n in (1, 2, 3):
+        release.save(spark, "pruned", f"r{n}", {"one": spark.range(n)})
+    df = spark.table("pruned.one")
+    assert df.count() == 3
+    scan = next(p for p in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in p and "release_run" in p)
+    assert "release_run" in scan.split("PartitionFilters: [")[1].split("]")[0] and "ubquery" in scan
+    assert release.forget(spark, "pruned", keep=1) == ["r2", "r1"]
+    assert spark.table("pruned.one").count() == 3 and spark.table("pruned.one_runs").count() == 3
+    release.save(spark, "pruned", "r3", {"one": spark.range(5)})  # repeated: replaces its own rows
+    assert spark.table("pruned.one").count() == 5
+
+
+def test_columns_of_a_result_stay(spark):
+    release.save(spark, "fixed", "r1", {"one": spark.range(1)})
+    with pytest.raises(ValueError):
+        release.save(spark, "fixed", "r2", {"one": spark.range(1).withColumn("more", F.lit(1))})
+    with pytest.raises(ValueError):
+        release.save(spark, "fixed", "r'3", {})
+    assert release.current(spark, "fixed")[0] == "r1" and release.current(spark, "nowhere") is None
+
+
+@pytest.mark.parametrize("view", sorted(staging.SOURCES))
+def test_staging_views_equal_their_frames(spark, view):
+    made = {
+        "users": R.users(spark, R.USERS), "subscriptions": R.subscriptions(spark, R.SUBSCRIPTIONS), "events": R.events(spark, R.EVENTS),
+        "stripe.customers": R.payment_customers(spark, [("cus", "a@x")]),
+        "stripe.subscriptions": R.payment_subscriptions(spark, [("s", "cus", "active", 2900, "2024-01-02", "2024-02-03")]),
+    }
+    df = made[staging.SOURCES[view]]
+    df.createOrReplaceTempView("viewed")
+    sql, frame = spark.sql(staging.view_sql(view, "viewed")), getattr(staging, view)(df)
+    assert sql.schema == frame.schema and sorted(map(repr, sql.collect())) == sorted(map(repr, frame.collect()))
+
+
+def test_jobs_build_from_folders_stores_and_catalog_tables(spark, tmp_path):
+    ops, pay, store = (str(tmp_path / n) for n in ("ops", "pay", "store"))
+    operational(spark, ops, R.USERS)
+    land_day(tmp_path / "one", "one")
+    land_day(tmp_path / "two", "two")
+    landed = ["--landed", str(tmp_path / "one"), "--at", DAY1.isoformat()]
+    job.main(["sync", *landed, "--out", pay])
+    build = ["--database", "built", "--as-of", "2024-06-15", "--run"]
+    job.main(["build", "--operational", ops, "--payments", pay, *build, "r1"])
+    assert spark.table("built.fct_mrr_by_month").count() == 3 and spark.table("built.stg_users").count() == 4
+    assert spark.table("built.stg_stripe_customers").count() == 2
+    assert dt.date(2024, 1, 1) in {r["month"] for r in spark.table("built.fct_mrr_by_month").collect()}
+
+    # from catalog tables
+    job.main(["sync", *landed, "--database", "paydb", "--run", "one", "--buckets", "2"])
+    two = ["--landed", str(tmp_path / "two"), "--at", DAY2.isoformat()]
+    job.main(["sync", *two, "--database", "paydb", "--run", "two", "--previous-run", "one", "--buckets", "2"])
+    spark.sql("CREATE DATABASE IF NOT EXISTS opsdb")
+    for t in pipeline.OPERATIONAL:
+        tables.read_table(spark, ops, t).write.mode("overwrite").saveAsTable(f"opsdb.{t}")
+    databases = ["--operational-database", "opsdb", "--payments-database", "paydb"]
+    job.main(["build", *databases, *build, "r2"])
+    assert spark.table("built.stg_stripe_customers").count() == 3 and release.current(spark, "built")[0] == "r2"
+    job.main(["counts", *databases])
+    with pytest.raises(SystemExit):
+        job.main(["counts", "--operational-database", "opsdb", "--payments", pay])
+
+    # keyed tables have no folder: their staging view is stored with the release
+    job.main(["sync", *two, "--store", store, "--buckets", "2"])
+    job.main(["build", "--operational", ops, "--payments", store, "--database", "keyedb", "--as-of", "2024-06-15", "--run", "r1"])
+    assert spark.table("keyedb.stg_stripe_customers").count() == 2 and spark.table("keyedb.stg_users").count() == 4
