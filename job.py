@@ -6,6 +6,8 @@
     spark-submit job.py stream --landed DIR --store DIR --at 2024-06-15T00:00:00
     spark-submit job.py compact --store DIR [--keep VERSIONS]
     spark-submit job.py sync   --landed DIR --database DB --run ID [--previous-run ID] --at 2024-06-15T00:00:00
+    spark-submit job.py events --exported DIR --operational DIR
+    spark-submit job.py activity --operational DIR --state DIR
     spark-submit job.py build  --operational DIR --payments DIR --out DIR --as-of 2024-06-15 [--only NAME ...]
     spark-submit job.py build  --operational DIR --payments DIR --database DB --run ID --as-of 2024-06-15
     spark-submit job.py build  --operational-database DB --payments-database DB --database DB --run ID --as-of 2024-06-15
@@ -26,9 +28,10 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerlight.plans import kpi, pipeline  # noqa: E402
+from ledgerlight.plans import activity, kpi, pipeline  # noqa: E402
+from ledgerlight.schemas import TABLES  # noqa: E402
 from ledgerlight.sources import keyed  # noqa: E402
-from ledgerlight.sources.tables import Sources, catalog_sources  # noqa: E402
+from ledgerlight.sources.tables import Sources, catalog_sources, conform, write_events_by_day  # noqa: E402
 from ledgerlight.streaming.payments import merge_stream, sync_stream  # noqa: E402
 
 
@@ -61,11 +64,19 @@ def parser() -> argparse.ArgumentParser:
     compact.add_argument("--store", required=True)
     compact.add_argument("--keep", type=int)
 
+    events = commands.add_parser("events", help="add exported events to the folders of their days")
+    events.add_argument("--exported", required=True)
+    events.add_argument("--operational", required=True)
+    activity_ = commands.add_parser("activity", help="roll up the days whose event files changed")
+    activity_.add_argument("--operational", required=True)
+    activity_.add_argument("--state", required=True)
+
     build = commands.add_parser("build", help="store the quality report, the marts and the KPIs")
     place = build.add_mutually_exclusive_group(required=True)
     place.add_argument("--out")
     place.add_argument("--database", help="a catalog database instead of a folder; needs --run")
     build.add_argument("--run", help="names this run's tables, behind views of the plain names")
+    build.add_argument("--activity", help="the state of the activity job, read instead of the events")
     build.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
     build.add_argument("--only", nargs="+", choices=pipeline.STORED, default=pipeline.STORED)
     counts = commands.add_parser("counts", help="print the row count of every table")
@@ -128,11 +139,16 @@ def main(arguments: list[str] | None = None) -> None:
             keyed.compact(spark, target)
             if args.keep:
                 keyed.vacuum(spark, target, args.keep)
+    elif args.command == "events":
+        exported = conform(spark.read.schema(TABLES["events"]).parquet(args.exported), "events")
+        write_events_by_day(exported, args.operational, mode="append")
+    elif args.command == "activity":
+        print(f"{len(activity.update(spark, args.operational, args.state))} days rolled up")
     else:
         only = args.only if args.command == "build" else pipeline.STORED
         sources, origins = sources_of(spark, args, only)
         if args.command == "build":
-            pipeline.run(spark, sources, args.database or args.out, args.as_of, only, args.run, origins)
+            pipeline.run(spark, sources, args.database or args.out, args.as_of, only, args.run, origins, args.activity)
         else:
             kpi.table_counts(sources).show(truncate=False)
 

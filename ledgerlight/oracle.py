@@ -563,7 +563,9 @@ def _upserts() -> dict[str, str]:
 def statements(cursor: str, customer: str) -> dict[str, str]:
     return {
         "mrr_by_month": _mrr_by_month(),
+        "mrr_by_month_daily": _mrr_by_month(),
         "user_metrics": _user_metrics(),
+        "user_metrics_by_day": _user_metrics(),
         "activation_funnel": _activation_funnel(),
         "revenue_attribution": _revenue_attribution(),
         **_staging(),

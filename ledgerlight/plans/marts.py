@@ -26,26 +26,44 @@ def mrr_by_month(subscriptions: DataFrame, as_of: dt.date, unique_ids: bool = Tr
     ``unique_ids`` relies on the primary key; without it subscription ids are
     counted as distinct values too. No month is ever joined to a subscription.
     """
-    started = subscriptions.where(F.col("started_at").isNotNull())
-    spans = started.select(
+    spans = active_spans(subscriptions)
+    grouped = grouped_spans(spans)
+    lasting_spans = spans.where(LASTING)
+    changes = [S.distinct_key_changes(lasting_spans, "user_id", "customers")]
+    if not unique_ids:
+        changes.append(S.distinct_key_changes(lasting_spans, "subscription_id", "ids"))
+    return mrr_of(grouped, changes, as_of, unique_ids)
+
+
+# otherwise canceled in its first month or before: never active at a month's end
+LASTING = "(end_m IS NULL OR end_m > start_m)"
+
+
+def active_spans(subscriptions: DataFrame) -> DataFrame:
+    """Started subscriptions by their months; plans without a revenue column share one group, which keeps the groups few."""
+    return subscriptions.where(F.col("started_at").isNotNull()).select(
         "subscription_id",
         "user_id",
         "mrr",
-        # plans without a column share one group, which keeps the groups few
         F.when(F.col("plan").isin(*PLANS), F.col("plan")).alias("plan"),
         X.month(F.col("started_at")).alias("start_m"),
         X.month(F.col("canceled_at")).alias("end_m"),
     )
-    # otherwise canceled in its first month or before: never active at a month's end
-    lasting = "(end_m IS NULL OR end_m > start_m)"
 
-    # All further steps on subscriptions run on this: month pairs x plans
-    grouped = spans.groupBy("start_m", "end_m", "plan").agg(
+
+def grouped_spans(spans: DataFrame) -> DataFrame:
+    """All that is summed up of subscriptions, per pair of months and plan."""
+    return spans.groupBy("start_m", "end_m", "plan").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("subscription_id").alias("known_ids"),
         F.count("mrr").alias("known_amounts"),
         F.coalesce(F.sum(X.to_cents(F.col("mrr"))), F.lit(0)).alias("sum_cents"),
     )
+
+
+def mrr_of(grouped: DataFrame, distinct_changes: list[DataFrame], as_of: dt.date, unique_ids: bool = True) -> DataFrame:
+    """The report from ``grouped_spans`` and the monthly changes in distinct customers (and ids, if not unique)."""
+    lasting = LASTING
     measures = {
         "n": f"if({lasting}, rows, 0)",
         "ids": f"if({lasting}, known_ids, 0)",
@@ -60,17 +78,15 @@ def mrr_by_month(subscriptions: DataFrame, as_of: dt.date, unique_ids: bool = Tr
         del measures["ids"]
     measured = grouped.selectExpr("start_m", "end_m", *[f"{e} AS {m}" for m, e in measures.items()])
 
-    lasting_spans = spans.where(lasting)
     changes = [
         S.monthly_changes(measured, [*measures]),
-        S.distinct_key_changes(lasting_spans, "user_id", "customers"),
-        subscriptions.sparkSession.range(0, 1, 1, 1).select(
+        *distinct_changes,
+        grouped.sparkSession.range(0, 1, 1, 1).select(
             F.trunc(F.lit(X.as_date(as_of)), "month").alias("month"), F.lit(1).alias("is_start")
         ),
     ]
     running = [*measures, "customers"]
     if not unique_ids:
-        changes.append(S.distinct_key_changes(lasting_spans, "subscription_id", "ids"))
         running.append("ids")
     totals = S.monthly_totals(changes, running)
 
@@ -101,15 +117,9 @@ def mrr_by_month(subscriptions: DataFrame, as_of: dt.date, unique_ids: bool = Tr
     )
 
 
-def user_metrics(users: DataFrame, subscriptions: DataFrame, events: DataFrame) -> DataFrame:
-    """Activity, revenue and engagement level of every user.
-
-    Events are rolled up per user and day before they are rolled up per user,
-    so a user with a huge share of the events is spread over their days, and
-    the distinct days need no second pass. The summaries are then already
-    partitioned by the join key; only users are shuffled for the joins.
-    """
-    per_day = (
+def daily_activity(events: DataFrame) -> DataFrame:
+    """Events per user and day: how many, and the first and last time."""
+    return (
         events.where(F.col("user_id").isNotNull())
         .groupBy("user_id", X.day(F.col("event_at")).alias("day"))
         .agg(
@@ -118,6 +128,21 @@ def user_metrics(users: DataFrame, subscriptions: DataFrame, events: DataFrame)
             F.max("event_at").alias("last_at"),
         )
     )
+
+
+def user_metrics(users: DataFrame, subscriptions: DataFrame, events: DataFrame) -> DataFrame:
+    """Activity, revenue and engagement level of every user.
+
+    Events are rolled up per user and day before they are rolled up per user,
+    so a user with a huge share of the events is spread over their days, and
+    the distinct days need no second pass. The summaries are then already
+    partitioned by the join key; only users are shuffled for the joins.
+    """
+    return user_metrics_of(users, subscriptions, daily_activity(events))
+
+
+def user_metrics_of(users: DataFrame, subscriptions: DataFrame, per_day: DataFrame) -> DataFrame:
+    """The same from ``daily_activity``, one row per user and day."""
     activity = per_day.groupBy("user_id").agg(
         F.sum("n").alias("total_events"),
         F.count("day").alias("active_days"),

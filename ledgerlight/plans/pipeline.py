@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlight.functions import exprs as X
 from ledgerlight.operators import quality as Q
 from ledgerlight.operators.upsert import merge_by_key, one_row_per_key
-from ledgerlight.plans import ingest, kpi, marts, quality, release, staging
+from ledgerlight.plans import activity, ingest, kpi, marts, quality, release, staging
 from ledgerlight.schemas import TABLES
 from ledgerlight.sources import keyed, landed
 from ledgerlight.sources.tables import (
@@ -267,6 +267,7 @@ def run(
     only: Collection[str] = STORED,
     run_id: str | None = None,
     origins: Mapping[str, str] | None = None,
+    activity_state: str | None = None,
 ) -> dict[str, DataFrame]:
     """Build and store what is named in ``only``: the quality report, marts and KPIs.
 
@@ -274,7 +275,8 @@ def run(
     returns what was stored, read back. ``out`` is a folder, or with a ``run_id`` a
     catalog database, in which all views change over together once all tables are
     complete. There the staging views are kept too: over the sources' ``origins``, and
-    stored for those without one.
+    stored for those without one. User metrics come from an ``activity_state``, if given,
+    instead of from events.
     """
     unknown = sorted(set(only) - set(STORED))
     if unknown:
@@ -289,7 +291,10 @@ def run(
         if "fct_mrr_by_month" in only:
             keys = Q.key_checks(sources["subscriptions"], "subscriptions", quality.PRIMARY_KEY)
             unique = keys.where((F.col("check") == "unique") & (F.col("violations") > 0)).isEmpty()
-        frames |= build_marts(staged, as_of, unique, only)
+        kept = ["fct_user_metrics"] if activity_state is not None and "fct_user_metrics" in only else []
+        frames |= build_marts(staged, as_of, unique, [name for name in only if name not in kept])
+        for name in kept:
+            frames[name] = activity.user_metrics(spark, staged["stg_users"], staged["stg_subscriptions"], activity_state)
     if "kpi_summary" in only:
         frames["kpi_summary"] = kpi.kpi_summary(sources)
     chosen = {name: frames[name] for name in only}
