@@ -24,8 +24,7 @@ How the work is spread:
    as Elias-Fano sequences and quantised log probabilities, in one memory-mapped level
    after the other. Successors are numbered relative to their context, and a pair is
    looked up by a successor search in the context's range. What is found goes back to
-   the blocks in the order they asked in; where a block's own count is all there is, it
-   is told just that.
+   the blocks in the order they asked in.
 4. Each block scores its documents with what came back.
 
 Defined results: a null text is an empty one, whose only token is the end; texts of
@@ -242,7 +241,7 @@ class Block:
         return Pairs(used, rank[place.ravel()], first[head], number[head], head, second[order], shard)
 
 
-OWN, FIRST = 1, 2  # answers: the block's own count is all there is; quanta from 2 on; 1 below 2 is none
+FIRST = 1  # answers: quanta from 1 on; below it there is none
 
 
 def _quanta(count: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -420,9 +419,7 @@ def score(docs: DataFrame) -> DataFrame:
         kept = total >= LEAST
         quanta = _quanta(total[kept], of[first[kept]])
         trie = Trie(first[kept], second[kept], quanta, len(seconds))
-        found, more = np.full(len(n), OWN, np.uint16), np.flatnonzero(n != total[place])
-        wanted, which = np.unique(place[more], return_inverse=True)
-        found[more] = (trie.find(first[wanted], second[wanted]) + FIRST).clip(0).astype(np.uint16)[which.ravel()]
+        found = (trie.find(first, second) + FIRST).clip(0).astype(np.uint16)[place]
         mass = np.bincount(first[kept], 10.0 ** (-quanta / STEP), len(contexts))
         # The mass that the shard's pairs take from a listed context goes to block -1.
         some = np.flatnonzero(is_listed & (mass > 0))
@@ -471,10 +468,7 @@ def score(docs: DataFrame) -> DataFrame:
             at = np.minimum(np.searchsorted(listed, every), len(listed) - 1)
             after = np.where(listed[at] == every, left.value[at], after)
             full = after[b.before()] * unigram[b.tokens]
-            n, of = p.counts(b), np.append(n_starts, c)[np.repeat(p.number, np.diff(np.append(p.head, len(p.second))))]
             quanta = quanta.astype(np.int64) - FIRST
-            alone = np.flatnonzero((quanta == OWN - FIRST) & (n >= LEAST))
-            quanta[alone] = _quanta(n[alone], of[alone])
             share = np.where(quanta >= 0, 10.0 ** (-quanta / STEP), 0.0)
             full[p.used] += share[p.place]
             add = lambda x: np.add.reduceat(x, b.starts)

@@ -97,3 +97,15 @@ def test_rare_words_and_pairs_seen_once_count(spark, monkeypatch):
     found = M.score(docs).collect()
     same(found, plain(rows))
     assert all(r["score"] > r["base_score"] + 2 for r in found if r["doc_id"] >= 1000)
+
+
+def test_every_pair_is_looked_up_in_the_trie(spark, monkeypatch):
+    """Also where all documents are one block."""
+
+    def lost(*_):
+        raise LookupError("the trie was asked")
+
+    docs = spark.createDataFrame([(1, "the cat sat")], "doc_id long, text string")
+    monkeypatch.setattr(M.Trie, "find", lost)
+    with pytest.raises(Exception, match="the trie was asked"):
+        M.score(docs).collect()
