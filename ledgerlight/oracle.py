@@ -309,6 +309,16 @@ def _lists(cursor: str, customer: str) -> dict[str, str]:
     of_customer = f"where customer_id = '{customer}'"
     return {
         "list_customers_page": _sql(page.format(where=f"id > '{cursor}'"), "pay_customers"),
+        "list_customers_page_clustered": _sql(page.format(where=f"id > '{cursor}'"), "pay_customers"),
+        "list_customers_pages": _sql(
+            """
+            , r as (select * exclude (synced_at), row_number() over (order by id) as place, count(*) over () as n from pay_customers)
+            select c.id as cursor, (r.place - c.place)::integer as rank, r.id, r.email, r.name, r.created, r.currency,
+                   r.company, r.industry, c.place + 10 < c.n as has_more
+            from r c join r on r.place between c.place + 1 and c.place + 10
+            """,
+            "pay_customers",
+        ),
         "list_customers_first_page": _sql(page.format(where="true"), "pay_customers"),
         "list_customers_unknown_cursor": _sql(page.format(where="true"), "pay_customers"),
         "list_subscriptions": _sql(subs.format(where=""), "pay_subs"),
