@@ -581,6 +581,7 @@ def statements(cursor: str, customer: str) -> dict[str, str]:
         **_staging(),
         **_lists(cursor, customer),
         "invoice_schedule": _sql("select * exclude (synced_at) from pay_invoices", "pay_invoices"),
+        "invoice_schedule_daily": _sql("select * exclude (synced_at) from pay_invoices", "pay_invoices"),
         "charge_schedule": _sql("select * exclude (synced_at) from pay_charges", "pay_charges"),
         "operational_charges": _sql("select * from src_op_charges", "src_op_charges"),
         **_kpis(),

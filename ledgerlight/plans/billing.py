@@ -32,7 +32,12 @@ def _payment_periods(subscriptions: DataFrame, as_of: dt.date, partitions: int |
 
 def invoice_schedule(subscriptions: DataFrame, as_of: dt.date, partitions: int | None = None) -> DataFrame:
     """Invoices of provider subscriptions up to their end, or ``as_of`` while running."""
-    return _payment_periods(subscriptions, as_of, partitions).select(
+    return invoices_of(_payment_periods(subscriptions, as_of, partitions))
+
+
+def invoices_of(periods: DataFrame) -> DataFrame:
+    """Invoices of periods: provider subscriptions with ``period_no`` and ``period_at``."""
+    return periods.select(
         X.hashed_id("in_", F.col("id"), F.col("period_no")).alias("id"),
         "customer_id",
         F.col("id").alias("subscription_id"),

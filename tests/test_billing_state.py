@@ -1,0 +1,65 @@
+"""Billing run by run adds up to the whole schedule."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import rows as R
+from ledgerlight.plans import billing, billing_state as B
+from ledgerlight.sources import keyed
+
+AT = dt.datetime(2024, 1, 1)
+
+
+def subs(spark, *rows):
+    return R.payment_subscriptions(spark, [(i, "cus", "active", 100, s, e) for i, s, e in rows])
+
+
+def check(spark, state, df, as_of):
+    want = sorted(map(tuple, billing.invoice_schedule(df, as_of).collect()))
+    assert sorted(map(tuple, billing.invoices_of(B.in_force(spark, state)).collect())) == want
+    return len(want)
+
+
+def counts(spark, state, epoch):
+    return {r["kind"]: r["count"] for r in B.issued(spark, state, [epoch]).groupBy("kind").count().collect()}
+
+
+def test_runs_add_up_to_the_schedule(spark, tmp_path):
+    state = str(tmp_path / "state")
+    one = subs(spark, ("a", "2024-01-01", None), ("b", "2024-01-15", None), ("c", "2024-05-01", None), ("z", "2024-01-01", "2024-01-01"))
+    B.run(spark, state, one, dt.date(2024, 2, 1), 1, AT, buckets=2)
+    assert check(spark, state, one, dt.date(2024, 2, 1)) == 3 and counts(spark, state, 1) == {"issued": 3}
+    # the next day nothing starts; nothing is written
+    B.run(spark, state, one, dt.date(2024, 2, 2), 2, AT)
+    assert counts(spark, state, 2) == {}
+    # a late subscription, a cancellation on a period's day, and one that is known late
+    two = subs(spark, ("a", "2024-01-01", "2024-01-31"), ("b", "2024-01-15", "2024-01-20"), ("c", "2024-05-01", None), ("d", "2023-12-01", None))
+    B.run(spark, state, two, dt.date(2024, 3, 15), 3, AT)
+    assert counts(spark, state, 3) == {"issued": 4, "reversed": 1}
+    check(spark, state, two, dt.date(2024, 3, 15))
+    # a cancellation taken back: what was reversed is issued again
+    B.run(spark, state, one.union(two.where("id = 'd'")), dt.date(2024, 6, 15), 4, AT)
+    check(spark, state, one.union(two.where("id = 'd'")), dt.date(2024, 6, 15))
+    before = B.issued(spark, state).count()
+    B.run(spark, state, two, dt.date(2024, 6, 15), 4, AT)  # repeated
+    assert B.issued(spark, state).count() == before
+
+
+def test_a_failed_run_does_not_count(spark, tmp_path, monkeypatch):
+    state, df = str(tmp_path / "state"), subs(spark, ("a", "2024-01-01", None))
+    assert B.in_force(spark, state).count() == 0
+    B.run(spark, state, df, dt.date(2024, 1, 10), 1, AT, buckets=2)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "_publish", fail)
+        try:
+            B.run(spark, state, df, dt.date(2024, 3, 10), 2, AT)
+        except OSError:
+            pass
+    check(spark, state, df, dt.date(2024, 1, 10))
+    B.run(spark, state, df, dt.date(2024, 2, 10), 2, AT)
+    check(spark, state, df, dt.date(2024, 2, 10))
