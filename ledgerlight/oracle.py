@@ -461,6 +461,20 @@ def _kpis() -> dict[str, str]:
         "kpi_summary": _sql(kpi, "src_users", "src_subs", "src_events", "src_op_charges"),
         "table_counts": _sql(counts, *tables.values()),
         "data_quality": _sql(quality, *tables.values()),
+        "data_quality_pages": """
+            with pages as (select distinct c_custkey // 10 as p from customer),
+            kept as (select * from pages where p % 9 <> 4),
+            found as (
+              select 'page_gap' as "check", max(p) - min(p) + 1 - count(*) as violations from kept union all
+              select 'page_repeated', 0 union all
+              select 'early_end', count(*) from kept where p % 5 = 2 and p < (select max(p) from kept) union all
+              select 'page_overlap', count(*) from kept a join kept b on b.p = a.p + 1
+                join customer on c_custkey = b.p * 10 where a.p % 6 = 1 union all
+              select 'finished', (max(p) % 5 <> 2)::bigint from kept)
+            select "check", 'landed.customers' as "table", '*' as "column", violations::bigint as violations from found
+            union all
+            select 'required', 'landed.customers', unnest(['id', 'email', 'name', 'created', 'currency']), 0::bigint
+            """,
         "data_quality_dirty": _sql(dirty, "src_users", "src_subs", "src_events", "pay_customers"),
     }
 

@@ -188,13 +188,13 @@ def scratch_folder(spark: SparkSession) -> str:
 # --- landed pages -----------------------------------------------------------
 
 
-def _page(table_name: str, page: Column, data: Column, has_more: bool = False) -> list[Column]:
+def _page(table_name: str, page: Column, data: Column, has_more: bool | Column = False) -> list[Column]:
     """A page as it would lie in a file: its name and its JSON text."""
     body = F.to_json(
         F.struct(
             F.lit("list").alias("object"),
             data.alias("data"),
-            F.lit(has_more).alias("has_more"),
+            (F.lit(has_more) if isinstance(has_more, bool) else has_more).alias("has_more"),
             F.lit(f"/v1/{table_name}").alias("url"),
         )
     )
@@ -362,6 +362,23 @@ def faulty_pages(spark: SparkSession, sf_dir: str, table_name: str) -> DataFrame
     return rows.select(*_page(table_name, page, F.array(record), has_more=True))
 
 
+def broken_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered pages of ten customers each, of which some are lost, some say that nothing follows, and
+    some have the next page's first customer too."""
+    key = F.col("c_custkey")
+    page = F.call_function("div", key, F.lit(10))
+    record = F.struct(
+        X.hashed_id("cus_", key).alias("id"), F.col("c_name").alias("email"), F.col("c_name").alias("name"),
+        key.alias("created"), F.lit("usd").alias("currency"),
+    )
+    rows = _read(spark, sf_dir, "customer").select(page.alias("p"), key.alias("key"), record.alias("record"))
+    early = rows.where((F.col("key") % 10 == 0) & ((F.col("p") - 1) % 6 == 1)).withColumn("p", F.col("p") - 1)
+    paged = rows.unionByName(early).groupBy("p").agg(F.array_sort(F.collect_list(F.struct("key", "record"))).alias("r"))
+    paged = paged.where(F.col("p") % 9 != 4).withColumn("r", F.transform("r", lambda x: x["record"]))
+    name = F.concat(F.lit("customers/page_"), F.col("p").cast("string"), F.lit(".json"))
+    return paged.select(*_page("customers", name, F.col("r"), F.col("p") % 5 != 2))
+
+
 def faulty_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """Four of the tables with faults: repeated and missing keys, long texts, orphans, no rows."""
     people = users(spark, sf_dir)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import rows as R
 from ledgerlight.functions import exprs as X
 from ledgerlight.operators import paging
+from ledgerlight.operators import quality as Q
 from ledgerlight.plans import billing, ingest, kpi, lists, quality
 from ledgerlight.schemas import TABLES
 from ledgerlight.sources import landed, tables
@@ -266,3 +267,16 @@ def test_jdbc_options():
     assert (split["partitionColumn"], split["numPartitions"], split["upperBound"]) == ("created", "8", "100")
     with pytest.raises(ValueError):
         tables.jdbc_options("jdbc:x", "users", partitions=4)
+
+
+def test_broken_chains_of_pages_are_reported(spark):
+    made = [
+        ("in/page_9.json", [("a",), ("b",)], True), ("in/page_10.json", [("b",), ("c",)], False), ("in/page_12.json", [("d",)], True),
+        ("in/page_12.json", [("e",)], None), ("in/page_13.json", None, False), ("noname", [("a",)], False),
+    ]
+    pages = spark.createDataFrame(made, "page string, data array<struct<id: string>>, has_more boolean")
+    found = {r["check"]: r["violations"] for r in Q.check_chain(pages, "t").collect()}
+    assert found == {"page_gap": 1, "page_repeated": 1, "early_end": 2, "page_overlap": 1}
+    whole = pages.where("page IN ('in/page_9.json')")
+    assert {r["violations"] for r in Q.check_chain(whole, "t").collect()} == {0}
+    assert {r["violations"] for r in Q.check_chain(pages.where("false"), "t").collect()} == {0}
