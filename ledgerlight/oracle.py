@@ -592,6 +592,7 @@ def statements(cursor: str, customer: str) -> dict[str, str]:
         "user_metrics_by_day": _user_metrics(),
         "activation_funnel": _activation_funnel(),
         "revenue_attribution": _revenue_attribution(),
+        "revenue_attribution_split": _revenue_attribution(),
         **_staging(),
         **_lists(cursor, customer),
         "invoice_schedule": _sql("select * exclude (synced_at) from pay_invoices", "pay_invoices"),

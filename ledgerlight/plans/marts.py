@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions import exprs as X
 from ledgerlight.operators import spans as S
+from ledgerlight.operators.skew import join_skewed
 
 # Plans with a revenue column of their own (fixed values)
 PLANS = ("starter", "professional", "enterprise")
@@ -214,19 +215,39 @@ def activation_funnel(users: DataFrame) -> DataFrame:
 
 
 def revenue_attribution(
-    users: DataFrame, customers: DataFrame, subscriptions: DataFrame, as_of: dt.date
+    users: DataFrame, customers: DataFrame, subscriptions: DataFrame, as_of: dt.date, split_hot_keys: bool = False
 ) -> DataFrame:
     """One row per user, payment customer with the same email, and subscription.
 
     Emails match without regard to case and need not be unique, so rows may fan
     out. Users without a subscription do not appear, hence inner joins. Customers
-    with very many subscriptions are split by the adaptive skew join.
+    with very many subscriptions, and emails with very many customers, are split by
+    the adaptive skew join, or with ``split_hot_keys`` by salts, also where that is off.
     """
+    if split_hot_keys:
+        return _attributed(_split_joins(users, customers, subscriptions), as_of)
     u, c, s = users.alias("u"), customers.alias("c"), subscriptions.alias("s")
+    joined = u.join(c, F.lower("u.email") == F.lower("c.email")).join(
+        s, F.col("c.stripe_customer_id") == F.col("s.stripe_customer_id")
+    )
+    return _attributed(joined, as_of)
+
+
+def _split_joins(users: DataFrame, customers: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """The same joins, with hot keys of customers' emails and of subscriptions' customers split."""
+    as_struct = lambda df, name: df.select(F.struct(*df.columns).alias(name))
+    known = join_skewed(
+        as_struct(customers, "c"), as_struct(users, "u"), F.lower("c.email"), F.lower("u.email"), F.col("c.stripe_customer_id")
+    )
+    return join_skewed(
+        as_struct(subscriptions, "s"), known, F.col("s.stripe_customer_id"), F.col("c.stripe_customer_id"), F.col("s.stripe_subscription_id")
+    )
+
+
+def _attributed(joined: DataFrame, as_of: dt.date) -> DataFrame:
     until = F.coalesce(F.col("s.canceled_at"), X.timestamp(X.as_date(as_of)))
     return (
-        u.join(c, F.lower("u.email") == F.lower("c.email"))
-        .join(s, F.col("c.stripe_customer_id") == F.col("s.stripe_customer_id"))
+        joined
         .where(F.col("s.stripe_subscription_id").isNotNull())
         .select(
             "u.user_id",
