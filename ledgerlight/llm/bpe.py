@@ -236,45 +236,92 @@ def _lead(byte: int) -> tuple[int, int, int] | None:
     return None
 
 
+def _step(state: tuple[int, int, int, int], byte: int) -> tuple[int, int, int, int] | None:
+    """The state after one more byte; None if it cannot follow. The last number of a state is how many bytes wait."""
+    missing, low, high, waiting = state
+    if missing:
+        return ((missing - 1, 0x80, 0xBF, waiting + 1) if missing > 1 else READY) if low <= byte <= high else None
+    lead = _lead(byte)
+    return None if lead is None else (*lead, 1) if lead[0] else READY
+
+
+READY = (*ASCII_STATE, 0)
+MALFORMED = -1
+
+
 class Decoder:
-    """Turns a stream of ids into text; an unfinished character waits for the next ids."""
+    """Turns a stream of ids into text; an unfinished character waits for the next ids.
+
+    Every byte goes through the state machine. What it does with a whole token's bytes is
+    worked out once for each state that the token is met in, and looked up from then on:
+    a stretch of tokens that all lead from the first state back to it is told at once.
+    """
 
     def __init__(self, merges: Merges):
         self.bytes_of = {r: b for b, r in merges.ranks.items()}.__getitem__
-        self.state, self.waiting = ASCII_STATE, bytearray()
+        self.states, self.numbers = [READY], {READY: 0}
+        self.after: list[dict[int, int]] = [{}]  # by state, then id: the next state
+        self.whole: set[int] = set()  # ids that lead from the first state back to it
+        self.at, self.waiting = 0, b""
+
+    def _after(self, at: int, token: int) -> int:
+        state = self.states[at]
+        for byte in self.bytes_of(token):
+            state = _step(state, byte)
+            if state is None:
+                break
+        to = MALFORMED if state is None else self._number(state)
+        self.after[at][token] = to
+        if at == to == 0:
+            self.whole.add(token)
+        return to
+
+    def _number(self, state: tuple[int, int, int, int]) -> int:
+        if state not in self.numbers:
+            self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.after.append({})
+        return self.numbers[state]
 
     def feed(self, ids: list[int]) -> str:
         """The text that is complete after these ids."""
-        data = b"".join(map(self.bytes_of, ids))
-        if not self.waiting:
-            try:
-                return data.decode()  # nothing is cut: the machine would end where it began
-            except UnicodeDecodeError:
-                pass
-        out, waiting, (missing, low, high) = [], self.waiting, self.state
-        for byte in data:
-            if missing and low <= byte <= high:
-                waiting.append(byte)
-                missing, low, high = missing - 1, 0x80, 0xBF
+        at = self.at
+        if at or not self.whole.issuperset(ids):
+            for token in ids:
+                to = self.after[at].get(token)
+                at = self._after(at, token) if to is None else to
+                if at < 0:
+                    return self._replacing(ids)
+        data = self.waiting + b"".join(map(self.bytes_of, ids))
+        cut = len(data) - self.states[at][3]
+        self.at, self.waiting = at, data[cut:]
+        return data[:cut].decode()
+
+    def _replacing(self, ids: list[int]) -> str:
+        """The same byte by byte, where some cannot follow: each malformed stretch becomes one replacement."""
+        out, waiting, state = [], bytearray(self.waiting), self.states[self.at]
+        for byte in b"".join(map(self.bytes_of, ids)):
+            to = _step(state, byte)
+            if to is None and state != READY:
+                out.append("\ufffd")
+                waiting.clear()
+                to = _step(READY, byte)
+            if to is None:
+                out.append("\ufffd")
+                to = READY
             else:
-                if missing:
-                    out.append("�")
-                waiting = bytearray((byte,))
-                lead = _lead(byte)
-                if lead is None:
-                    out.append("�")
-                    waiting, lead = bytearray(), ASCII_STATE
-                missing, low, high = lead
-            if not missing and waiting:
+                waiting.append(byte)
+            if to == READY and waiting:
                 out.append(waiting.decode())
-                waiting = bytearray()
-        self.waiting, self.state = waiting, (missing, low, high)
+                waiting.clear()
+            state = to
+        self.at, self.waiting = self._number(state), bytes(waiting)
         return "".join(out)
 
     def finish(self) -> str:
         """What is left at the end of the stream: a character cut short is malformed."""
-        left = "�" if self.waiting else ""
-        self.state, self.waiting = ASCII_STATE, bytearray()
+        left = "\ufffd" if self.waiting else ""
+        self.at, self.waiting = 0, b""
         return left
 
     def decode(self, ids: list[int]) -> str:

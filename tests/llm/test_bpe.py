@@ -67,3 +67,25 @@ def test_query_equals_the_library(spark, plain):
     for r in rows:
         ids = plain.encode_ordinary(texts[r["doc_id"]])
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_any_bytes_decode_as_a_stream_decoder_does(merges):
+    rng = random.Random(8)
+    lead = [0x41, 0x80, 0xBF, 0xC2, 0xC3, 0xE0, 0xA0, 0xED, 0x9F, 0xEF, 0xF0, 0x90, 0xF4, 0x8F, 0xF5, 0xFF]
+    for _ in range(2000):
+        data = bytes(rng.choice(lead) for _ in range(rng.randint(0, 12)))
+        decoder, ids = bpe.Decoder(merges), [merges.ranks[bytes([b])] for b in data]
+        cuts = sorted(rng.randint(0, len(ids)) for _ in range(2))
+        parts = [ids[: cuts[0]], ids[cuts[0] : cuts[1]], ids[cuts[1] :]]
+        assert "".join(map(decoder.feed, parts)) + decoder.finish() == data.decode(errors="replace")
+
+
+def test_every_token_goes_through_the_state_machine(merges, monkeypatch):
+    decoder, encoder = bpe.Decoder(merges), bpe.Encoder(merges)
+    seen = []
+    step = bpe._step
+    monkeypatch.setattr(bpe, "_step", lambda state, byte: seen.append(byte) or step(state, byte))
+    text = "Some text, some more: é日😀"
+    ids = encoder.encode(text)
+    assert decoder.decode(ids) == text
+    assert {bytes(b) for b in map(decoder.bytes_of, ids)} and set(text.encode()) <= set(seen)
