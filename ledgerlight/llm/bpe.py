@@ -25,7 +25,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterable, Iterator
+import sys
+import types
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -81,11 +84,11 @@ def load_merges(path: str, pattern: str) -> Merges:
 class Encoder:
     """The transducer of one vocabulary, with what it has determinised so far."""
 
-    def __init__(self, merges: Merges, most_transitions: int = 300_000, most_pieces: int = 300_000):
+    def __init__(self, merges: Merges, most_transitions: int = 300_000, most_bytes: int = 100_000_000):
         self.ranks, self.parts = merges.ranks, merges.parts
         self.bytes_of = {r: b for b, r in merges.ranks.items()}
         self.split = regex.compile(merges.pattern).findall
-        self.most_transitions, self.most_pieces = most_transitions, most_pieces
+        self.most_transitions, self.most_bytes = most_transitions, most_bytes
         self.apart: dict[int, bool] = {}
         # A node of the trie: its children by byte, and the token that ends in it.
         self.children: list[dict[int, int]] = [{}]
@@ -99,7 +102,9 @@ class Encoder:
                     self.token.append(-1)
                 node = self.children[node][byte]
             self.token[node] = rank
+        # Pieces met, and about how many bytes they take here.
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.held = 0
         self._forget()
 
     def _forget(self) -> None:
@@ -208,12 +213,15 @@ class Encoder:
     def encode(self, text: str | None) -> list[int]:
         """The ids of a whole text."""
         known, ids = self.pieces, []
-        if len(known) > self.most_pieces:
-            known.clear()
         for piece in self.split(text or ""):
             found = known.get(piece)
             if found is None:
-                found = known[piece] = self._piece(piece)
+                found = self._piece(piece)
+                self.held += 160 + 4 * len(piece) + 8 * len(found)
+                if self.held > self.most_bytes:
+                    known.clear()
+                    self.held = 0
+                known[piece] = found
             ids += found
         return ids
 
@@ -257,8 +265,8 @@ class Decoder:
     a stretch of tokens that all lead from the first state back to it is told at once.
     """
 
-    def __init__(self, merges: Merges):
-        self.bytes_of = {r: b for b, r in merges.ranks.items()}.__getitem__
+    def __init__(self, bytes_of: dict[int, bytes]):
+        self.bytes_of = bytes_of.__getitem__
         self.states, self.numbers = [READY], {READY: 0}
         self.after: list[dict[int, int]] = [{}]  # by state, then id: the next state
         self.whole: set[int] = set()  # ids that lead from the first state back to it
@@ -340,13 +348,31 @@ def _small(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def _broadcast(docs: DataFrame, merges: Merges) -> Callable[[], Encoder]:
+    """What gives a task its worker process's encoder, which keeps what it has determinised for the tasks after it."""
+    shared = docs.sparkSession.sparkContext.broadcast((merges.pattern, merges.ranks, merges.parts))
+    name = f"byte_bpe_{uuid.uuid4().hex}"
+
+    def encoder() -> Encoder:
+        # Modules outlive tasks; of one query's encoder there is one, and the ones before it go.
+        if name not in sys.modules:
+            for old in [m for m in sys.modules if m.startswith("byte_bpe_")]:
+                del sys.modules[old]
+            holder = types.ModuleType(name)
+            holder.encoder = Encoder(Merges(*shared.value))
+            sys.modules[name] = holder
+        return sys.modules[name].encoder
+
+    return encoder
+
+
 def encode(docs: DataFrame, merges: Merges, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with ``out``, the token ids of ``text``: one pass where the rows are, no shuffle."""
     kept, schema = _added(docs, out, ArrayType(IntegerType(), False))
-    shared = docs.sparkSession.sparkContext.broadcast((merges.pattern, merges.ranks, merges.parts))
+    own = _broadcast(docs, merges)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Merges(*shared.value))
+        encoder = own()
         for b in _small(batches):
             ids = pa.array([encoder.encode(t) for t in b.column("__text").to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), ids], [*kept, out])
@@ -360,7 +386,7 @@ def decode(docs: DataFrame, merges: Merges, ids: str = "ids", out: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast((merges.pattern, merges.ranks, merges.parts))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(Merges(*shared.value))
+        decoder = Decoder({r: b for b, r in shared.value[1].items()})
         for b in _small(batches):
             texts = pa.array([decoder.decode(i or []) for i in b.column("__ids").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), texts], [*kept, out])
@@ -370,10 +396,11 @@ def decode(docs: DataFrame, merges: Merges, ids: str = "ids", out: str = "text")
 
 def report(docs: DataFrame, merges: Merges, chunk: int = 4096) -> DataFrame:
     """Per document: the number and digest of its ids, and the digest of what they decode to, ``chunk`` ids at a time."""
-    shared = docs.sparkSession.sparkContext.broadcast((merges.pattern, merges.ranks, merges.parts))
+    own = _broadcast(docs, merges)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(Merges(*shared.value)), Decoder(Merges(*shared.value))
+        encoder = own()
+        decoder = Decoder(encoder.bytes_of)
         for b in batches:
             n_tokens, digests, decoded = [], [], []
             for text in b.column("text"):
