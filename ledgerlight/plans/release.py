@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlight.plans import staging
 from ledgerlight.schemas import TABLES
+from ledgerlight.sources.tables import exists
 
 MANIFEST = "number BIGINT, release STRING, sources STRING"
 RUN = "release_run"  # the partition column
@@ -49,7 +50,7 @@ def _newest(database: str, column: str) -> str:
 
 def current(spark: SparkSession, database: str) -> tuple[str, str] | None:
     """The newest release and the id of its sources; None before the first one."""
-    if not spark.catalog.tableExists(f"{database}.releases"):
+    if not exists(spark, f"{database}.releases"):
         return None
     found = spark.sql(f"SELECT max_by(release, number) AS release, max_by(sources, number) AS sources FROM {database}.releases").first()
     return None if found["release"] is None else (found["release"], found["sources"])
@@ -121,7 +122,7 @@ def save(
     if moved:
         for view in views:
             parts = [_gated(database, view, sources)]
-            if before is not None and spark.catalog.tableExists(_relation(database, staging.SOURCES[view], before[1])):
+            if before is not None and exists(spark, _relation(database, staging.SOURCES[view], before[1])):
                 parts.insert(0, _gated(database, view, before[1]))
             _run(spark, f"CREATE OR REPLACE VIEW {database}.{view} AS {' UNION ALL '.join(parts)}")
     _run(
@@ -131,7 +132,7 @@ def save(
     # From here on every view shows this release; what follows only makes staging views simple again.
     for view in views:
         query = staging.view_sql(view, _relation(database, staging.SOURCES[view], sources))
-        if moved or not spark.catalog.tableExists(f"{database}.{view}"):
+        if moved or not exists(spark, f"{database}.{view}"):
             _run(spark, f"CREATE OR REPLACE VIEW {database}.{view} AS {query}")
 
 

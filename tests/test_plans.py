@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import rows as R
 from ledgerlight.operators import upsert as U
-from ledgerlight.plans import ingest, lists, marts, pipeline, staging
+from ledgerlight.plans import ingest, lists, marts, pipeline, quality, staging
 from ledgerlight.schemas import TABLES
 from ledgerlight.sources import tables
 
@@ -245,3 +245,15 @@ def test_pipeline_stores_the_marts_and_reruns_to_the_same_tables(spark, tmp_path
         pipeline.run(spark, stored, out, R.AS_OF, only=["fct_nothing"])
     assert spark.sql("SELECT count(*) FROM stg_users WHERE is_activated").first()[0] == 2
     assert spark.read.parquet(f"{out}/data_quality").count() > 0
+
+
+def test_quality_report_reads_each_table_once(spark, tmp_path):
+    base = str(tmp_path)
+    for name in TABLES:
+        tables.write_table(tables.empty(spark, name), base, name)
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        text = plan(quality.data_quality(tables.parquet_sources(spark, base)))
+    assert text.count("FileScan parquet") == len(TABLES)
+    # keys, references and broken checks meet in one exchange; the other counts what is left by constraint
+    assert text.count("hashpartitioning(tag") == 3 and text.count("hashpartitioning(tag#") >= 2
+    assert text.count(", value#") > 0 and "LeftAnti" not in text
