@@ -359,3 +359,27 @@ def deduplicate(docs: DataFrame, similarity: int = 80) -> DataFrame:
         stay = one.select("__row").union(rows.where("n_shingles = 0").select("__row"))
         out = out.union(nameless.join(stay, "__row").select(*docs.columns))
     return out
+
+
+def oracle(similarity: int = 85) -> str:
+    """DuckDB SQL of ``groups``: all pairs that share a shingle, and what each document reaches."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+    with recursive words as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+    listed as (
+      select doc_id, case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from words),
+    shingles as (select distinct doc_id, unnest(s) as s from listed),
+    sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+    pairs as (
+      select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+      group by a.doc_id, b.doc_id),
+    links as (
+      select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * c >= {similarity} * (a.n + b.n - c)),
+    edges as (select x, y from links union all select y, x from links),
+    reached as (select x, y from edges union select r.x, e.y from reached r join edges e on r.y = e.x),
+    least as (select x, min(y) as y from reached group by x)
+    select d.doc_id, coalesce(n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) as component_id,
+      coalesce(y, d.doc_id) >= d.doc_id as kept
+    from documents d left join sizes using (doc_id) left join least on x = d.doc_id"""

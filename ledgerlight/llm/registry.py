@@ -65,5 +65,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_scan": secrets.oracle(),
         "op8_exact_top_k": exact_topk.oracle(),
+        "op9_near_dedup": near_dedup.oracle(),
         "op11_url_filter": url_filter.oracle(),
     }
