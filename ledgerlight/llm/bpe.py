@@ -84,7 +84,7 @@ def load_merges(path: str, pattern: str) -> Merges:
 class Encoder:
     """The transducer of one vocabulary, with what it has determinised so far."""
 
-    def __init__(self, merges: Merges, most_transitions: int = 300_000, most_bytes: int = 100_000_000):
+    def __init__(self, merges: Merges, most_transitions: int = 800_000, most_bytes: int = 160_000_000):
         self.ranks, self.parts = merges.ranks, merges.parts
         self.bytes_of = {r: b for b, r in merges.ranks.items()}
         self.split = regex.compile(merges.pattern).findall
