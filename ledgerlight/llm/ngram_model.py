@@ -436,8 +436,8 @@ def score(docs: DataFrame) -> DataFrame:
             }
         )
 
-    paired = every.mapInArrow(pairs, asked).repartition(shards, "shard")
-    answers = shared.cut(paired.groupBy("shard").applyInArrow(answer, answered))
+    answers = shared.cut(every.mapInArrow(pairs, asked).repartition(shards, "shard").groupBy("shard").applyInArrow(answer, answered))
+    shared.let_go(docs.sparkSession)  # the pairs have been answered
     taken = {r["key"]: r["mass"] for r in answers.where("block = -1").groupBy("key").agg(F.sum("value").alias("mass")).collect()}
     left = context.broadcast(np.maximum(1 - np.array([taken.get(w, 0.0) for w, _ in frequent]), 1e-12))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -12,12 +13,23 @@ from pyspark.sql import functions as F
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the folder of ``spark.checkpoint.dir``, which survives lost executors.
 
-    A folder of our own is set only where the session names none, as in tests.
+    A folder of our own is set only where the session names none, as in tests. What earlier
+    cuts were made from is let go of first.
     """
     checkpoint_folder(df.sparkSession)
+    let_go(df.sparkSession)
     return df.checkpoint()
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark delete shuffle files, and checkpoints if so configured, that no frame refers to any more.
+
+    It does so when the driver collects garbage, which may be long after a cut has made them useless.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The session's own folder below ``spark.checkpoint.dir``, where tables can be stored too."""
     context = spark.sparkContext
