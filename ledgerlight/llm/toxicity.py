@@ -9,11 +9,15 @@
    automata of all terms at once); states and transitions are made when a word
    first needs them. A word is a hit when it starts with a term, or when the
    whole of it is within the edits allowed for a term: one from ``ONE_EDIT`` letters,
-   two from ``TWO_EDITS``.
+   two from ``TWO_EDITS``, where two neighbouring letters swapped are one edit. A word
+   of any length that starts with a misspelled term whose last letter is right, such
+   as a misspelled inflection, is a weaker kind of hit. Words with digits or signs that
+   look like letters are misspelled forms of what they look like.
 3. Every hit looks at its window: whether it stands between quotation marks, and
    how many other hits are near. Counts of exact, misspelled and quoted hits and the
    densest window are weighed by a logistic regression learned from the labels,
-   so that reported abuse need not count as abuse.
+   so that reported abuse need not count as abuse. Weaker hits are counted apart, and
+   not in the window.
 
 Learning runs on a bounded sample of labelled documents (``SAMPLE`` rows with texts
 of up to ``LONGEST`` characters): terms are counted by Spark, and a few numbers
@@ -31,6 +35,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -44,14 +49,17 @@ from ledgerlight.llm import labelled
 
 SAMPLE, LONGEST = 12_000, 100_000
 SHORTEST_TERM, LONGEST_TERM, TERMS = 3, 12, 2000
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_RATIO, KEEPS, COVER = 5, 0.01, 20.0, 0.9, 2
+LEAST_DOCUMENTS, LEAST_RATIO, KEEPS, COVER = 5, 20.0, 0.9, 2
 ONE_EDIT, TWO_EDITS = 5, 9
 WINDOW = 10  # words to either side of a hit
-FEATURES = 8
+FEATURES = 10
+STARTS = 3  # instead of edits: the word starts with a misspelled term
 
 # Words, with signs put in the place of letters inside of them.
 WORD = re.compile(r"\w+(?:[*@$]+\w+)*")
+LOOK_ALIKES = str.maketrans("013457@$", "oieastas")
 QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‹": "›"}
+MARK = re.compile("[" + "".join({*QUOTES, *QUOTES.values()}) + "]")
 
 
 def starts(text: str) -> set[str]:
@@ -62,10 +70,9 @@ def starts(text: str) -> set[str]:
 def candidates(counts: Iterable[tuple[str, int, int]], n_toxic: int, n_other: int) -> dict[str, int]:
     """Of (start, toxic documents, other documents), those far more often in toxic ones, as long as may be."""
     toxic = {}
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic)
     for start, a, b in counts:
         ratio = ((a + 0.5) / (n_toxic + 1)) / ((b + 0.5) / (n_other + 1))
-        if a >= least and ratio >= LEAST_RATIO:
+        if a >= LEAST_DOCUMENTS and ratio >= LEAST_RATIO:
             toxic[start] = a
     longer: dict[str, list[str]] = {}
     for start in toxic:
@@ -91,11 +98,10 @@ def choose_terms(documents: list[list[str]]) -> list[str]:
         for start in found:
             holding.setdefault(start, set()).add(i)
     need = [COVER] * len(documents)
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * len(documents))
     terms: list[str] = []
     while holding and len(terms) < TERMS:
         start = max(holding, key=lambda s: (len(holding[s]), s))
-        if len(holding[start]) < least:
+        if len(holding[start]) < LEAST_DOCUMENTS:
             break
         terms.append(start)
         for i in holding.pop(start):
@@ -132,40 +138,72 @@ class Automaton:
         self.states: dict[frozenset, int] = {}
         self.places: list[frozenset] = []
         self.accepts: list[int] = []
-        self.moves: dict[tuple[int, str], int] = {}
+        self.moves: dict[tuple[int, str], tuple[int, bool]] = {}
         self.words: dict[str, int] = {}
-        self._state({(0, 0)})
+        self._state({(0, "", 0)})
 
-    def _state(self, places: set[tuple[int, int]]) -> int:
-        """The state of these places and of those a skipped letter away; -1 if there are none."""
-        best: dict[int, int] = {}
+    def _state(self, places: set[tuple[int, str, int]]) -> int:
+        """The state of these places and of those a skipped letter away; -1 if there are none.
+
+        A place is a node, the letter that must come next if two are being swapped, and the edits spent.
+        """
+        best: dict[tuple[int, str], int] = {}
         waiting = list(places)
         while waiting:
-            node, spent = waiting.pop()
-            if spent > self.reach[node] or best.get(node, 9) <= spent:
+            node, awaited, spent = waiting.pop()
+            if spent > self.reach[node] or best.get((node, awaited), 9) <= spent:
                 continue
-            best[node] = spent
-            waiting += [(child, spent + 1) for child in self.children[node].values()]
+            best[node, awaited] = spent
+            if not awaited:
+                waiting += [(child, "", spent + 1) for child in self.children[node].values()]
         key = frozenset(best.items())
         if not key:
             return -1
         if key not in self.states:
             self.states[key] = len(self.places)
             self.places.append(key)
-            self.accepts.append(min([spent for node, spent in key if spent <= self.allowed[node]], default=-1))
+            ends = [spent for (node, awaited), spent in key if not awaited and spent <= self.allowed[node]]
+            self.accepts.append(min(ends, default=-1))
         return self.states[key]
 
-    def _move(self, state: int, ch: str) -> int:
-        after = set()
-        for node, spent in self.places[state]:
+    def _move(self, state: int, ch: str) -> tuple[int, bool]:
+        """The state after ``ch``, and whether its being right or swapped ends a misspelled term there."""
+        after, right = set(), set()
+        for (node, awaited), spent in self.places[state]:
+            if awaited:
+                if awaited == ch:
+                    right.add((node, "", spent))
+                continue
             for letter, child in self.children[node].items():
-                after.add((child, spent + (letter != ch)))
-            after.add((node, spent + 1))
-        to = self.moves[state, ch] = self._state(after)
+                if letter == ch:
+                    right.add((child, "", spent))
+                else:
+                    after.add((child, "", spent + 1))
+                    if ch in self.children[child]:
+                        after.add((self.children[child][ch], letter, spent + 1))
+            after.add((node, "", spent + 1))
+        ends = any(0 < spent <= self.allowed[node] for node, _, spent in right)
+        to = self.moves[state, ch] = self._state(after | right), ends
         return to
 
+    def _spelled(self, word: str) -> int:
+        state, started = 0, False
+        for ch in word:
+            state, ends = self.moves.get((state, ch)) or self._move(state, ch)
+            if state < 0:
+                break
+            if self.accepts[state] == 0:
+                return 0
+            started = started or ends
+        if state >= 0 and self.accepts[state] > 0:
+            return self.accepts[state]
+        return STARTS if started else -1
+
     def edits(self, word: str) -> int:
-        """0 if the word starts with a term; else the edits, if allowed, between the word and a term; else -1."""
+        """0 if the word starts with a term; else the edits, if allowed, between the word and a term;
+        else ``STARTS`` if it starts with a misspelled term; else -1. A word with look-alikes of letters
+        that reads as a hit has one edit at least.
+        """
         if not self.places:
             return -1  # there are no terms
         known = self.words.get(word)
@@ -173,35 +211,37 @@ class Automaton:
             return known
         if len(self.moves) + len(self.words) > self.most:
             self._forget()
-        state, best = 0, -1
-        for ch in word[: LONGEST_TERM + 2]:
-            to = self.moves.get((state, ch))
-            state = self._move(state, ch) if to is None else to
-            if state < 0:
-                break
-            if self.accepts[state] == 0:
-                best = 0
-                break
-        else:
-            # Misspelled terms are whole words: a start with edits says little.
-            if len(word) <= LONGEST_TERM + 2:
-                best = self.accepts[state]
+        best = self._spelled(word)
+        if best < 0 or best == STARTS:
+            read = word.translate(LOOK_ALIKES)
+            if read != word and not word.isdecimal():
+                found = self._spelled(read)
+                best = max(found, 1) if found >= 0 else best
         self.words[word] = best
         return best
 
 
-def _quoted(text: str, start: int, end: int) -> bool:
-    """Whether quotation marks stand open before and are closed after, on the same line."""
-    before = text[text.rfind("\n", 0, start) + 1 : start]
-    line_end = text.find("\n", end)
-    after = text[end : len(text) if line_end < 0 else line_end]
-    for opening, closing in QUOTES.items():
-        if opening == closing:
-            if before.count(opening) % 2 and closing in after:
-                return True
-        elif before.rfind(opening) > before.rfind(closing) and closing in after:
-            return True
-    return False
+def quoted(text: str, spans: Iterable[tuple[int, int]]) -> Iterator[bool]:
+    """Per span, in order, whether quotation marks stand open before and are closed after, on the same line.
+
+    Each line's marks are looked up once, however many spans it has.
+    """
+    line_end, at = -1, {}
+    for start, end in spans:
+        if start > line_end:
+            line = text.rfind("\n", max(0, line_end), start) + 1
+            line_end = text.find("\n", end)
+            line_end = len(text) if line_end < 0 else line_end
+            at = {mark: [] for pair in QUOTES.items() for mark in pair}
+            for found in MARK.finditer(text, line, line_end):
+                at[found[0]].append(found.start())
+        inside = False
+        for opening, closing in QUOTES.items():
+            n = bisect_left(at[opening], start)
+            if n and at[closing] and at[closing][-1] >= end:
+                m = bisect_left(at[closing], start)
+                inside |= bool(n % 2) if opening == closing else not m or at[opening][n - 1] > at[closing][m - 1]
+        yield inside
 
 
 def features(text: str | None, automaton: Automaton) -> list[float]:
@@ -213,17 +253,19 @@ def features(text: str | None, automaton: Automaton) -> list[float]:
     if not at:
         return [1.0] + [0.0] * (FEATURES - 1)
     spans = [m.span() for m in WORD.finditer(low)]
-    counts = [[0, 0], [0, 0]]
-    for i in at:
-        counts[edits(words[i]) > 0][_quoted(low, *spans[i])] += 1
+    counts = [[0, 0], [0, 0], [0, 0]]
+    for i, inside in zip(at, quoted(low, (spans[i] for i in at))):
+        found = edits(words[i])
+        counts[2 if found == STARTS else found > 0][inside] += 1
+    at = [i for i in at if edits(words[i]) != STARTS]
     densest, j = 0, 0
     for k, i in enumerate(at):
         while i - at[j] > WINDOW:
             j += 1
         densest = max(densest, k - j + 1)
-    (plain, quoted), (near, near_quoted) = counts
-    logs = [math.log1p(c) for c in (plain, quoted, near, near_quoted)]
-    return [1.0, *logs, float(plain > 0), math.log1p(densest), 100 * len(at) / len(words)]
+    (plain, _), _, weak = counts
+    logs = [math.log1p(c) for kind in counts[:2] for c in kind]
+    return [1.0, *logs, float(plain > 0), math.log1p(densest), 100 * len(at) / len(words), *map(math.log1p, weak)]
 
 
 def misspelled(text: str, automaton: Automaton) -> str:

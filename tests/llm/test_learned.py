@@ -45,12 +45,25 @@ def test_gradients_of_the_attention_model():
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    """Edits, two neighbouring letters swapped being one."""
+    d = [[max(i, j) for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def started(word, term, allowed):
+    """Whether the word starts with the term misspelled, its last letter being right or swapped."""
+    for n in range(1, len(word) + 1):
+        spent = [distance(word[: n - 1], term[:-1])] if word[n - 1] == term[-1] else []
+        if n > 1 and word[n - 1] == term[-2] and word[n - 2] == term[-1]:
+            spent.append(distance(word[: n - 2], term[:-2]) + 1)
+        if any(s <= allowed for s in spent):
+            return True
+    return False
 
 
 @pytest.mark.parametrize("most", [300_000, 40])
@@ -58,12 +71,42 @@ def test_automaton_equals_plain_edit_distance(most):
     rng = random.Random(1)
     terms = ["abc", "abcab", "bbbbb", "cabcabc", "abcabcabc", "aacca"]
     automaton = toxicity.Automaton(terms, most)
+    allowed = {t: (len(t) >= toxicity.ONE_EDIT) + (len(t) >= toxicity.TWO_EDITS) for t in terms}
+    seen = set()
     for _ in range(4000):
-        word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 12)))
-        allowed = lambda t: (len(t) >= toxicity.ONE_EDIT) + (len(t) >= toxicity.TWO_EDITS)
-        edits = [distance(word, t) for t in terms if distance(word, t) <= allowed(t)]
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(1, 16)))
+        edits = [e for t in terms if (e := distance(word, t)) <= allowed[t]]
         expected = 0 if any(word.startswith(t) for t in terms) else min(edits, default=-1)
+        if expected < 0 and any(started(word, t, allowed[t]) for t in terms if allowed[t]):
+            expected = toxicity.STARTS
+        seen.add(expected)
         assert automaton.edits(word) == expected, word
+    assert seen == {-1, 0, 1, 2, toxicity.STARTS}
+
+
+def test_misspelled_inflections_and_swapped_letters():
+    automaton = toxicity.Automaton(["idiot", "moron"])
+    for word in "idoit idi0ts id1ots idoits m0r0n m0rons idoitically-long"[:-5].split():
+        assert automaton.edits(word) > 0, word
+    assert automaton.edits("idoits") == toxicity.STARTS == automaton.edits("idoitsandmanymoreletters")
+    for word in ("idiosyncratic", "maroon", "10107", "idea", "mor"):
+        assert automaton.edits(word) == -1, word
+    row = toxicity.features("idoits, 'idoits' and \"idoits\"", automaton)
+    assert row[1:8] == [0.0] * 7 and row[8:] == [np.log1p(2), np.log1p(1)]
+
+
+def test_quotes_of_a_long_line_equal_a_plain_look():
+    def plain(text, start, end):
+        before, after = text[:start].rsplit("\n", 1)[-1], text[end:].split("\n", 1)[0]
+        return any(
+            c in after and (before.count(o) % 2 == 1 if o == c else before.rfind(o) > before.rfind(c)) for o, c in toxicity.QUOTES.items()
+        )
+
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice('ab  "“”„«»‹›\n') for _ in range(rng.randint(1, 60)))
+        spans = [m.span() for m in toxicity.WORD.finditer(text)]
+        assert list(toxicity.quoted(text, spans)) == [plain(text, *s) for s in spans], text
 
 
 def test_context_of_hits():
