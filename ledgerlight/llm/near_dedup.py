@@ -190,7 +190,7 @@ def _overlaps(pairs: DataFrame, docs: DataFrame, folds: bool = False) -> DataFra
 
     With ``folds``, also what b lacks of a and what it adds to it, folded.
     """
-    pairs = shared.cut(pairs)
+    pairs = shared.stored(pairs)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = _sets(docs.join(wanted, "doc_id", "left_semi"))
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
@@ -215,6 +215,11 @@ def _linked(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
     return _links(_overlaps(pairs, docs), similarity)
 
 
+def _star(known: DataFrame) -> DataFrame:
+    """Components as links of each member with the smallest, so that only what is new has to be joined."""
+    return known.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+
 def _nameless(docs: DataFrame) -> DataFrame:
     """The rows without doc_id, with a number of their own in ``__row``."""
     return shared.cut(docs.where("doc_id is null").withColumn("__row", F.monotonically_increasing_id()))
@@ -241,7 +246,7 @@ def _groups(docs: DataFrame, similarity: int) -> DataFrame:
     if similarity < 80:
         raise ValueError("the signature distance is made for a similarity of 80 or more")
     docs = docs.select("doc_id", "text")
-    rows = shared.cut(_described(docs))
+    rows = shared.stored(_described(docs))
     kinds = KINDS
     slices = [f"s{i}" for i in range(SLICES)]
     # Nulls last: only a class without any doc_id gets a number made from its set.
@@ -249,47 +254,45 @@ def _groups(docs: DataFrame, similarity: int) -> DataFrame:
     classes = rows.where("n_shingles > 0").groupBy(*kinds).agg(smallest)
     made = F.pmod(F.xxhash64(*kinds), F.lit(1 << 62)) + F.lit(1 << 62)
     named = F.coalesce("r.doc_id", made).alias("id")
-    classes = shared.cut(classes.select(*kinds, "r.nameless", named, *[f"r.{s}" for s in slices], "r.keys"))
+    classes = shared.stored(classes.select(*kinds, "r.nameless", named, *[f"r.{s}" for s in slices], "r.keys"))
     unnamed = classes.where("nameless").select(*kinds, "id")
     some_unnamed = not unnamed.isEmpty()
     if some_unnamed:
         nameless = _nameless(docs)
         one = _told(nameless).groupBy(*kinds).agg(F.min("__row").alias("__row")).join(unnamed, kinds)
-        texts = shared.cut(nameless.join(one.select("__row", "id"), "__row").select(F.col("id").alias("doc_id"), "text"))
+        texts = shared.stored(nameless.join(one.select("__row", "id"), "__row").select(F.col("id").alias("doc_id"), "text"))
         docs = docs.where("doc_id is not null").union(texts)
 
     keyed = classes.select("id", F.explode("keys").alias("key"))
     busy = keyed.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
-    members = shared.cut(keyed.join(busy.select("key", "lead"), "key"))
+    members = shared.stored(keyed.join(busy.select("key", "lead"), "key"))
 
     # Each class is first held against the nearest of its keys' smallest classes.
     first = members.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     first = _within_distance(first, classes).groupBy("b").agg(
         F.min(F.struct("distance", "a", "n_a", "n_b")).alias("r")
     )
-    links = shared.cut(_linked(first.select("r.a", "b", "r.n_a", "r.n_b"), docs, similarity))
-    known = shared.components(links)
+    known = shared.components(_linked(first.select("r.a", "b", "r.n_a", "r.n_b"), docs, similarity))
 
     # Classes that share a key but no component yet.
     placed = members.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     placed = placed.join(open_keys.where("low < high").select("key"), "key", "left_semi").select("key", "id")
-    placed = shared.cut(placed)
+    placed = shared.stored(placed)
     alone = _alone(placed.select("id").distinct(), docs)
     signed = classes.join(alone, "id").select("id", "n_shingles", "alone", F.struct(*slices).alias("sign"))
     # What no other class has cannot be in an intersection, and is in every union.
     signed = signed.where(100 * (F.col("n_shingles") - F.col("alone")) >= similarity * F.col("n_shingles"))
-    signed = shared.cut(signed)
-    placed = shared.cut(placed.join(signed, "id").select("key", "id", "alone"))
+    signed = shared.stored(signed)
+    placed = shared.stored(placed.join(signed, "id").select("key", "id", "alone"))
 
     # Each is held against the least changed class of its keys.
     least = placed.groupBy("key").agg(F.min(F.struct("alone", "id")).alias("least"))
     centre = placed.join(least, "key").groupBy("id").agg(F.min("least").alias("c")).select("id", F.col("c.id").alias("centre"))
-    centre = shared.cut(centre)
+    centre = shared.stored(centre)
     held = centre.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    held = shared.cut(_overlaps(_within_distance(held, classes).select("a", "b", "n_a", "n_b"), docs, folds=True))
-    links = shared.cut(links.union(_links(held, similarity)))
-    known = shared.components(links)
+    held = shared.stored(_overlaps(_within_distance(held, classes).select("a", "b", "n_a", "n_b"), docs, folds=True))
+    known = shared.components(_star(known).union(_links(held, similarity)))
 
     # Pairs left over: in different components, within the distance, and by their own
     # shingles and what they lack of a centre they share not too far apart.
@@ -318,7 +321,7 @@ def _groups(docs: DataFrame, similarity: int) -> DataFrame:
     ).select(
         F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.n_shingles").alias("n_a"), F.col("b.n_shingles").alias("n_b")
     ).distinct()
-    final = shared.components(links.union(_linked(rest, docs, similarity)))
+    final = shared.components(_star(known).union(_linked(rest, docs, similarity)))
 
     component = classes.join(final, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
     if some_unnamed:
@@ -346,7 +349,7 @@ def deduplicate(docs: DataFrame, similarity: int = 80) -> DataFrame:
     """
     told = [F.when(F.col("doc_id").isNull(), F.col(k)).alias(k) for k in KINDS]
     found = _groups(docs, similarity).where("kept").groupBy("doc_id", *told).agg(F.count(F.lit(1)).alias("__rows"))
-    found = shared.cut(found)
+    found = shared.stored(found)
     chosen = docs.join(found.select("doc_id", "__rows"), "doc_id").select(*docs.columns, "__rows")
     out = chosen.where("__rows = 1").drop("__rows")
     if not found.where("__rows > 1 and doc_id is not null").isEmpty():
@@ -354,7 +357,7 @@ def deduplicate(docs: DataFrame, similarity: int = 80) -> DataFrame:
     kinds = found.where("doc_id is null").select(*KINDS)
     if not kinds.isEmpty():
         nameless = _nameless(docs)
-        rows = shared.cut(_told(nameless))
+        rows = shared.stored(_told(nameless))
         one = rows.where("n_shingles > 0").join(kinds, KINDS, "left_semi").groupBy(*KINDS).agg(F.min("__row").alias("__row"))
         stay = one.select("__row").union(rows.where("n_shingles = 0").select("__row"))
         out = out.union(nameless.join(stay, "__row").select(*docs.columns))
