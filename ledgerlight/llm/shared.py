@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -28,34 +27,6 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-LET_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the folder of ``spark.checkpoint.dir``, for columns of the caller's own choice.
-
-    Against ``cut`` it is compressed, its many small parts are read together, its size is
-    known to joins, and the shuffle files it came from go as soon as it is written.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/tables/{uuid.uuid4().hex}"
-    before = spark.conf.get(LET_GO, "false")
-    spark.conf.set(LET_GO, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(LET_GO, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(table: DataFrame) -> None:
-    """Delete a table of ``stored`` that nothing will read any more."""
-    spark = table.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of ``edges`` (a, b): the smallest id it is connected with.
 
@@ -72,16 +43,14 @@ def components(edges: DataFrame) -> DataFrame:
             linked = linked.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         return linked.where("a <> b").distinct()
 
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    state = None
     while True:
-        # Done once each node has one edge at most to a smaller one, which itself has none.
-        ends = edges.select(F.col("a").alias("u"), F.lit(1).alias("down"), F.lit(0).alias("up"))
-        ends = ends.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("u").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
-        if ends.where("down > 1 or down + up > 1").isEmpty():
+        now = edges.agg(F.count("a"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == state:
             break
-        before = edges
-        edges = stored(starred(starred(before, large=True), large=False))
-        forget(before)
+        state = now
+        edges = cut(starred(starred(edges, large=True), large=False))
     nodes = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return nodes.union(edges.select("b", "b")).distinct()
 
