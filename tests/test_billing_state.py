@@ -63,3 +63,36 @@ def test_a_failed_run_does_not_count(spark, tmp_path, monkeypatch):
     check(spark, state, df, dt.date(2024, 1, 10))
     B.run(spark, state, df, dt.date(2024, 2, 10), 2, AT)
     check(spark, state, df, dt.date(2024, 2, 10))
+
+
+def test_a_run_stores_subscriptions_not_periods(spark, tmp_path):
+    state = str(tmp_path / "state")
+    one = subs(spark, ("a", "2024-01-01", None), ("b", "2024-01-15", None))
+    B.run(spark, state, one, dt.date(2025, 1, 1), 1, AT, buckets=2)
+    assert spark.read.parquet(f"{state}/runs/1").count() == 2 and counts(spark, state, 1) == {"issued": 25}
+    check(spark, state, one, dt.date(2025, 1, 1))
+    # of thirteen periods the last ten are reversed, and some of them issued again, twice
+    for epoch, end, stored in ((2, "2024-03-20", {"reversed": 10}), (3, "2024-06-20", {"issued": 3}), (4, None, {"issued": 7})):
+        now = subs(spark, ("a", "2024-01-01", end), ("b", "2024-01-15", None))
+        B.run(spark, state, now, dt.date(2025, 1, 1), epoch, AT)
+        assert spark.read.parquet(f"{state}/runs/{epoch}").count() == 1 and counts(spark, state, epoch) == stored
+        check(spark, state, now, dt.date(2025, 1, 1))
+
+
+def test_repeated_and_missing_ids_are_one_subscription(spark, tmp_path):
+    state = str(tmp_path / "state")
+    twice = subs(spark, *[("a", "2024-01-01", None)] * 2, *[(None, "2024-01-01", None)] * 3, (None, "2024-01-01", "2024-02-10"))
+    B.run(spark, state, twice, dt.date(2024, 3, 15), 1, AT, buckets=2)
+    rows = B.in_force(spark, state).select("id", "period_no", "period_at").collect()
+    assert sorted((r["id"] or "", r["period_no"]) for r in rows) == [("", 0), ("", 1), ("", 2), ("a", 0), ("a", 1), ("a", 2)]
+    assert all(r["period_at"] == 1704067200 + r["period_no"] * B.PERIOD_SECONDS for r in rows)
+
+
+def test_runs_stored_period_by_period(spark, tmp_path):
+    state, df = str(tmp_path / "state"), subs(spark, ("a", "2024-01-01", None))
+    B.run(spark, state, df, dt.date(2024, 3, 15), 1, AT, buckets=2)
+    single = B.issued(spark, state).drop("epoch").collect()
+    spark.createDataFrame(single, B.PERIODS).write.mode("overwrite").parquet(f"{state}/runs/1")
+    check(spark, state, df, dt.date(2024, 3, 15))
+    B.run(spark, state, df, dt.date(2024, 6, 15), 2, AT)
+    check(spark, state, df, dt.date(2024, 6, 15))
