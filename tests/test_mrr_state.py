@@ -80,3 +80,20 @@ def test_customers_without_periods_are_let_go(spark, tmp_path):
     assert mrr_state.mrr_by_month(spark, state, R.AS_OF).count() == 0
     assert keyed.read(spark, mrr_state.periods_table(state)).first()["periods"] == []
     assert mrr_state.mrr_by_month(spark, str(tmp_path / "none"), R.AS_OF).count() == 0
+
+
+def test_changes_are_read_twice_however_much_they_move(spark, tmp_path):
+    state, seen = str(tmp_path / "state"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for epoch, rows in ((1, R.SUBSCRIPTIONS[:3]), (2, R.SUBSCRIPTIONS[3:])):
+        changes = staged(spark, rows)
+        before = seen.value
+        mrr_state.update(spark, state, changes.where("false"), changes.mapInArrow(counted, changes.schema), epoch, AT, buckets=2)
+        # once for the customers' pairs of months, once for the sums
+        assert seen.value - before == 2 * len(rows)
+    check(spark, state, R.SUBSCRIPTIONS)
