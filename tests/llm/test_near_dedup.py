@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 
@@ -130,3 +131,23 @@ def test_rows_without_doc_id_are_linked_and_kept_by_rule(spark):
     assert kept.columns == docs.columns
     left = sorted(r["n"] for r in kept.collect())
     assert [n for n in left if n not in (6, 7, 8)] == [3, 9, 10, 12, 13, 14] and len(left) == 7
+
+
+def test_small_steps_are_few_tasks(spark):
+    """With many shuffle partitions that nothing joins, each task would write files for a handful of edges."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    folder = shared.checkpoint_folder(spark).removeprefix("file:")
+    known = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert {r["component"] for r in shared.components(edges).collect()} == {0}
+        assert shared.gathered(edges.repartition(40)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    rounds = sorted(set(os.listdir(folder)) - known, key=lambda name: int(name.split("-")[1]))
+    parts = [sum(f.startswith("part-") for f in os.listdir(f"{folder}/{r}")) for r in rounds]
+    assert len(parts) > 2 and max(parts[1:]) <= spark.sparkContext.defaultParallelism
