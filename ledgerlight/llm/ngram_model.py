@@ -282,6 +282,38 @@ def _unpacked(data: bytes, *types: type) -> list[np.ndarray]:
     return out
 
 
+def _steps(a: np.ndarray) -> np.ndarray:
+    """The differences of ascending numbers, which have fewer bits; ``cumsum`` undoes it, overflow included."""
+    return np.diff(a, prepend=a.dtype.type(0))
+
+
+def _coded(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place of each entry's among them."""
+    values, place = np.unique(a, return_inverse=True)
+    return values, place.ravel().astype(np.uint32)
+
+
+def _packed_pairs(context: np.ndarray, length: np.ndarray, second: np.ndarray, n: np.ndarray) -> bytes:
+    """A block's pairs for a shard; contexts ascend, and a second word that many of them have is sent once."""
+    seconds, place = _coded(second)
+    return _packed(_steps(context), length, _steps(seconds), place, n)
+
+
+def _unpacked_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    context, length, seconds, place, n = _unpacked(data, np.int64, np.uint32, np.int64, np.uint32, np.uint32)
+    return np.cumsum(context), length, np.cumsum(seconds)[place], n
+
+
+def _packed_answer(found: np.ndarray, mass: np.ndarray) -> bytes:
+    """Quanta of pairs and masses of contexts, most of which are alike."""
+    return _packed(found, *_coded(mass))
+
+
+def _unpacked_answer(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    found, masses, place = _unpacked(data, np.uint16, np.float64, np.uint32)
+    return found, masses[place]
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     held = labelled.remainder(10) == 0
 
@@ -344,7 +376,8 @@ def score(docs: DataFrame) -> DataFrame:
     context = docs.sparkSession.sparkContext
     blocks = shared.cut(_blocks(docs))
     sizes = blocks.select("ends", "held").mapInArrow(_training_tokens, "n long").agg(F.sum("n").alias("n"), F.count("n").alias("blocks")).first()
-    n_tokens, shards = sizes["n"] or 0, 2 * max(1, sizes["blocks"])
+    # A shard is about a block's worth of pairs: with more shards a word is sent to more of them.
+    n_tokens, shards = sizes["n"] or 0, max(1, sizes["blocks"])
     # At most 1 / least words can have that share.
     only_listed, least = SHARE > 0, SHARE or SPREAD
 
@@ -395,13 +428,13 @@ def score(docs: DataFrame) -> DataFrame:
             length = np.diff(np.append(p.head, len(p.second))).astype(np.uint32)
             for low, high in _runs(p.shard):
                 c, d = np.searchsorted(p.head, (low, high))
-                yield _asked(p.shard[low], b.number, _packed(p.context[c:d], length[c:d], p.second[low:high], n[low:high]))
+                yield _asked(p.shard[low], b.number, _packed_pairs(p.context[c:d], length[c:d], p.second[low:high], n[low:high]))
 
     def answer(table: pa.Table) -> pa.Table:
         """A shard's pairs: added up, put into a trie, and looked up for the blocks that hold them."""
         listed, counts = common.value
         block, shard = table.column("block").to_pylist(), table.column("shard")[0].as_py()
-        asked = [_unpacked(x, np.int64, np.uint32, np.int64, np.uint32) for x in table.column("asked").to_pylist()]
+        asked = [_unpacked_pairs(x) for x in table.column("asked").to_pylist()]
         contexts, of_block = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
         of_block = of_block.ravel()
         first = np.repeat(of_block, np.concatenate([a[1] for a in asked]))
@@ -426,7 +459,7 @@ def score(docs: DataFrame) -> DataFrame:
         own = np.where(is_listed, 0, mass)[of_block]
         c = np.cumsum([0, *(len(a[0]) for a in asked)])
         p = np.cumsum([0, *(len(a[2]) for a in asked)])
-        blobs = [_packed(found[p[i] : p[i + 1]], own[c[i] : c[i + 1]]) for i in range(len(asked))]
+        blobs = [_packed_answer(found[p[i] : p[i + 1]], own[c[i] : c[i + 1]]) for i in range(len(asked))]
         return pa.table(
             {
                 "block": np.append(np.array(block, np.int64), np.full(len(some), -1)),
@@ -448,21 +481,21 @@ def score(docs: DataFrame) -> DataFrame:
         listed, _ = common.value
         kind, key = got.column("kind").to_numpy(), got.column("key").to_numpy()
 
-        def answers_of(k: int, *types: type) -> list[np.ndarray]:
+        def answers_of(k: int) -> list[bytes]:
             """In the order the block asked in."""
             which = np.flatnonzero(kind == k)
-            data = [_unpacked(got.column("found")[i].as_py(), *types) for i in which[np.argsort(key[which])]]
-            return [np.concatenate(x) for x in zip(*data)] or [np.zeros(0, t) for t in types]
+            return [got.column("found")[i].as_py() for i in which[np.argsort(key[which])]]
 
         out = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
         for row in asking.to_pylist():
             b = Block(row)
             c = np.zeros(len(b.words))
-            c[b.by_shard(shards)[0]] = answers_of(0, np.int64)[0]
+            c[b.by_shard(shards)[0]] = np.concatenate([_unpacked(x, np.int64)[0] for x in answers_of(0)])
             unigram = (c + ADDED) / (n_tokens + ADDED * (n_words + 1))
             base = np.log10(unigram)[b.tokens]
             p, after = b.pairs(listed, shards, only_listed), np.ones(len(b.words) + 1)
-            quanta, mass = answers_of(1, np.uint16, np.float64)
+            data = [_unpacked_answer(x) for x in answers_of(1)]
+            quanta, mass = (np.concatenate(x) for x in zip(*data)) if data else (np.zeros(0, np.uint16), np.zeros(0))
             after[p.number] = np.maximum(1 - mass, 1e-12)
             every = np.append(START, b.words)
             at = np.minimum(np.searchsorted(listed, every), len(listed) - 1)

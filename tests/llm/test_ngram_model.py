@@ -109,3 +109,20 @@ def test_every_pair_is_looked_up_in_the_trie(spark, monkeypatch):
     monkeypatch.setattr(M.Trie, "find", lost)
     with pytest.raises(Exception, match="the trie was asked"):
         M.score(docs).collect()
+
+
+def test_pairs_and_masses_travel_whole_and_small():
+    rng = np.random.default_rng(3)
+    word = lambda n: rng.integers(-(2**63), 2**63 - 1, n, dtype=np.int64)
+    common, length = word(500), np.full(4000, 3, np.uint32)
+    context, second, n = np.sort(word(4000)), common[rng.integers(0, 500, 12_000)], rng.integers(0, 9, 12_000).astype(np.uint32)
+    extremes = np.array([-(2**63), -1, 0, 2**63 - 1], np.int64)
+    for pairs in ((context, length, second, n), (extremes, length[:4], extremes, n[:4]), tuple(a[:0] for a in (context, length, second, n))):
+        back = M._unpacked_pairs(M._packed_pairs(*pairs))
+        assert all(np.array_equal(a, b) for a, b in zip(back, pairs))
+    plain = len(M._packed(context, length, second, n))
+    assert len(M._packed_pairs(context, length, second, n)) < 0.6 * plain
+    found, mass = rng.integers(0, 65535, 4000).astype(np.uint16), rng.random(40)[rng.integers(0, 40, 4000)]
+    packed = M._packed_answer(found, mass)
+    assert all(np.array_equal(a, b) for a, b in zip(M._unpacked_answer(packed), (found, mass)))
+    assert len(packed) < 0.6 * len(M._packed(found, mass))
