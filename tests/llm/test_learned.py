@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlight.llm import quality, registry, toxicity
 
@@ -132,3 +133,14 @@ def test_edge_cases(spark, module, label):
     rows = {r["doc_id"]: r["score"] for r in module.report(docs, mixed).collect()}
     assert rows[0] == rows[1] and rows[6] == rows[7]
     assert module.report(docs.where("false"), labels).count() == 0
+
+
+def test_a_kept_text_goes_to_the_worker_once(spark):
+    rows = [(i, f"A text of {i} words, " * (i % 7)) for i in range(300)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit([quality.features(t) for _, t in rows[:20]], np.arange(20) % 2)
+    found = quality.scored(docs, model)
+    assert "__text" not in found._jdf.queryExecution().analyzed().toString()
+    other = quality.scored(docs.select("doc_id", F.col("text").alias("score")), model, text="score")  # not kept
+    want = sorted((r["doc_id"] or -1, r["score"]) for r in found.collect())
+    assert want == sorted((r["doc_id"] or -1, r["score"]) for r in other.collect()) and len(want) == len(rows)
