@@ -51,7 +51,7 @@ from ledgerlight.llm import labelled, shared
 SHARE = 0.0
 SPREAD = 1 / 20_000  # of all tokens; contexts that have it are dealt out to several shards
 ADDED, DISCOUNT, LEAST = 0.1, 0.5, 1
-BLOCK_BYTES = 16_000_000  # of text
+BLOCK_BYTES = 24_000_000  # of text
 STEP = 4096  # quanta of a decimal order of magnitude
 RANGES = 9  # bits of a successor's hash, by whose values the pairs of a common context are dealt out
 END = 1  # its hash; words hash to anything else but for a chance of 2**-64
@@ -376,8 +376,8 @@ def score(docs: DataFrame) -> DataFrame:
     context = docs.sparkSession.sparkContext
     blocks = shared.cut(_blocks(docs))
     sizes = blocks.select("ends", "held").mapInArrow(_training_tokens, "n long").agg(F.sum("n").alias("n"), F.count("n").alias("blocks")).first()
-    # A shard is about a block's worth of pairs: with more shards a word is sent to more of them.
-    n_tokens, shards = sizes["n"] or 0, max(1, sizes["blocks"])
+    # A shard is about two blocks' worth of pairs: with more shards a word is sent to more of them.
+    n_tokens, shards = sizes["n"] or 0, max(1, sizes["blocks"] // 2)
     # At most 1 / least words can have that share.
     only_listed, least = SHARE > 0, SHARE or SPREAD
 
