@@ -53,6 +53,7 @@ SPREAD = 1 / 20_000  # of all tokens; contexts that have it are dealt out to sev
 ADDED, DISCOUNT, LEAST = 0.1, 0.5, 1
 BLOCK_BYTES = 24_000_000  # of text
 STEP = 4096  # quanta of a decimal order of magnitude
+PIECE = 1 << 18  # pairs looked up at once
 RANGES = 9  # bits of a successor's hash, by whose values the pairs of a common context are dealt out
 END = 1  # its hash; words hash to anything else but for a chance of 2**-64
 START = 0  # hash of the start as a context, likewise
@@ -179,14 +180,36 @@ class Trie:
 BLOCKS = "block long, words binary, tokens binary, docs binary, ends binary, held binary"
 
 
+def _others(ends: np.ndarray) -> np.ndarray:
+    """Which of a block's tokens are words, not ends."""
+    word = np.ones(ends[-1], bool)
+    word[ends - 1] = False
+    return word
+
+
+def _coded(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place of each entry's among them; holds half of what ``np.unique`` does."""
+    order = np.argsort(a)
+    values = a[order]
+    new = np.ones(len(a), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    values = values[new]
+    place = np.empty(len(a), np.uint32)
+    place[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+    return values, place
+
+
 def _block(number: int, ids: list[int], held: list[bool], hashes: list[np.ndarray]) -> dict:
-    every = np.concatenate([np.append(h, np.uint64(END)) for h in hashes])
-    words, token, count = np.unique(every, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")  # frequent words get small numbers
+    ends = np.cumsum([len(h) + 1 for h in hashes])
+    every = np.full(ends[-1], END, np.uint64)
+    every[_others(ends)] = np.concatenate(hashes)
+    hashes.clear()
+    words, token = _coded(every)
+    del every
+    order = np.argsort(-np.bincount(token), kind="stable")  # frequent words get small numbers
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    token = rank[token.ravel()]
-    ends = np.cumsum([len(h) + 1 for h in hashes])
+    token = rank[token]
     planes = token.view(np.uint8).reshape(-1, 4).T  # bytes of one weight together
     return {
         "block": number,
@@ -204,7 +227,7 @@ class Block:
     def __init__(self, row: dict):
         self.number, self.words = row["block"], np.frombuffer(row["words"], np.int64)
         planes = np.frombuffer(zstandard.decompress(row["tokens"]), np.uint8)
-        self.tokens = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64)
+        self.tokens = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
         self.docs, self.ends = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["ends"], np.int64)
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.starts = np.append(0, self.ends[:-1])
@@ -219,26 +242,44 @@ class Block:
 
     def before(self) -> np.ndarray:
         """Per token, the number of its context plus one; 0 for the start."""
-        before = np.append(0, self.tokens[:-1] + 1)
+        before = np.empty_like(self.tokens)
+        np.add(self.tokens[:-1], np.uint32(1), out=before[1:])
         before[self.starts] = 0
         return before
 
     def pairs(self, listed: np.ndarray, shards: int, only_listed: bool) -> Pairs:
         """The distinct pairs by shard and context; ``listed`` (sorted) are the common contexts' hashes."""
-        known = np.isin(self.words, listed) if only_listed else np.ones(len(self.words), bool)
-        before = self.before()
-        used = np.flatnonzero(np.append(True, known)[before] & known[self.tokens])
-        key, place = np.unique(before[used] << 32 | self.tokens[used], return_inverse=True)
-        number, second = key >> 32, self.words[key & 0xFFFFFFFF]
+        key, used = self.before().astype(np.int64), slice(None)
+        if only_listed:
+            known = np.isin(self.words, listed)
+            used = np.flatnonzero(np.append(True, known)[key] & known[self.tokens])
+        key <<= 32
+        key |= self.tokens
+        key, place = _coded(key[used])
+        number = (key >> 32).astype(np.uint32)
+        key &= 0xFFFFFFFF
+        second = self.words[key]
+        del key
         first = np.append(START, self.words)[number]
-        part = np.append(True, np.isin(self.words, listed))[number] * ((second.view(np.uint64) >> np.uint64(64 - RANGES)) + np.uint64(1))
-        shard = (shared.mixed(first.view(np.uint64) + shared.mixed(part)) % np.uint64(shards)).astype(np.int64)
+        shard = _shard_of_pairs(first, second, np.append(True, np.isin(self.words, listed))[number], shards)
         order = np.lexsort((first, shard))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        number, first, shard = number[order], first[order], shard[order]
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        place = rank[place]
+        del rank
+        first, shard = first[order], shard[order]
         head = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (shard[1:] != shard[:-1]))[: len(first)])
-        return Pairs(used, rank[place.ravel()], first[head], number[head], head, second[order], shard)
+        return Pairs(used, place, first[head], number[order[head]], head, second[order], shard)
+
+
+def _shard_of_pairs(first: np.ndarray, second: np.ndarray, is_listed: np.ndarray, shards: int) -> np.ndarray:
+    """A context's pairs are one shard's, a common context's by ranges of the second word's hash."""
+    part = second.view(np.uint64) >> np.uint64(64 - RANGES)
+    part += np.uint64(1)
+    part *= is_listed
+    part = shared.mixed(part)
+    part += first.view(np.uint64)
+    return (shared.mixed(part) % np.uint64(shards)).astype(np.int32)
 
 
 FIRST = 1  # answers: quanta from 1 on; below it there is none
@@ -251,7 +292,7 @@ def _quanta(count: np.ndarray, of: np.ndarray) -> np.ndarray:
 class Pairs(NamedTuple):
     """The distinct pairs of a block, each context's together."""
 
-    used: np.ndarray  # tokens that end a pair
+    used: np.ndarray | slice  # tokens that end a pair
     place: np.ndarray  # which pair each of them ends
     context: np.ndarray  # hashes of the contexts
     number: np.ndarray  # their numbers in the block plus one, 0 for the start
@@ -287,12 +328,6 @@ def _steps(a: np.ndarray) -> np.ndarray:
     return np.diff(a, prepend=a.dtype.type(0))
 
 
-def _coded(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values, ascending, and the place of each entry's among them."""
-    values, place = np.unique(a, return_inverse=True)
-    return values, place.ravel().astype(np.uint32)
-
-
 def _packed_pairs(context: np.ndarray, length: np.ndarray, second: np.ndarray, n: np.ndarray) -> bytes:
     """A block's pairs for a shard; contexts ascend, and a second word that many of them have is sent once."""
     seconds, place = _coded(second)
@@ -434,16 +469,23 @@ def score(docs: DataFrame) -> DataFrame:
         """A shard's pairs: added up, put into a trie, and looked up for the blocks that hold them."""
         listed, counts = common.value
         block, shard = table.column("block").to_pylist(), table.column("shard")[0].as_py()
-        asked = [_unpacked_pairs(x) for x in table.column("asked").to_pylist()]
-        contexts, of_block = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        of_block = of_block.ravel()
-        first = np.repeat(of_block, np.concatenate([a[1] for a in asked]))
-        seconds, second = np.unique(np.concatenate([a[2] for a in asked]), return_inverse=True)
-        distinct, place = np.unique(first * len(seconds) + second.ravel(), return_inverse=True)
-        place = place.ravel()
-        n = np.concatenate([a[3] for a in asked])
+        parts = [list(x) for x in zip(*(_unpacked_pairs(x) for x in table.column("asked").to_pylist()))]
+        c, p = (np.cumsum([0, *map(len, parts[i])]) for i in (0, 2))
+        # What has been taken is let go, so that a shard's pairs are not held many times over.
+        n, second = (np.concatenate(parts.pop()) for _ in range(2))
+        contexts, of_block = _coded(np.concatenate(parts[0]))
+        pair = np.repeat(of_block, np.concatenate(parts[1])).astype(np.int64)
+        del parts
+        seconds, second = _coded(second)
+        pair *= len(seconds)
+        pair += second
+        del second
+        distinct, place = _coded(pair)
+        del pair
         total = np.bincount(place, n, len(distinct))
+        del n
         first, second = np.divmod(distinct, len(seconds))
+        del distinct
         # How often each context is followed by a token: all its pairs are here, or it is listed.
         of = np.bincount(first, total, len(contexts))
         at = np.minimum(np.searchsorted(listed, contexts), len(listed) - 1)
@@ -452,14 +494,13 @@ def score(docs: DataFrame) -> DataFrame:
         kept = total >= LEAST
         quanta = _quanta(total[kept], of[first[kept]])
         trie = Trie(first[kept], second[kept], quanta, len(seconds))
-        found = (trie.find(first, second) + FIRST).clip(0).astype(np.uint16)[place]
+        looked_up = [trie.find(first[i : i + PIECE], second[i : i + PIECE]) for i in range(0, len(first), PIECE)]
+        found = (np.concatenate(looked_up) + FIRST).clip(0).astype(np.uint16)[place]
         mass = np.bincount(first[kept], 10.0 ** (-quanta / STEP), len(contexts))
         # The mass that the shard's pairs take from a listed context goes to block -1.
         some = np.flatnonzero(is_listed & (mass > 0))
         own = np.where(is_listed, 0, mass)[of_block]
-        c = np.cumsum([0, *(len(a[0]) for a in asked)])
-        p = np.cumsum([0, *(len(a[2]) for a in asked)])
-        blobs = [_packed_answer(found[p[i] : p[i + 1]], own[c[i] : c[i + 1]]) for i in range(len(asked))]
+        blobs = [_packed_answer(found[p[i] : p[i + 1]], own[c[i] : c[i + 1]]) for i in range(len(block))]
         return pa.table(
             {
                 "block": np.append(np.array(block, np.int64), np.full(len(some), -1)),
@@ -492,25 +533,26 @@ def score(docs: DataFrame) -> DataFrame:
             c = np.zeros(len(b.words))
             c[b.by_shard(shards)[0]] = np.concatenate([_unpacked(x, np.int64)[0] for x in answers_of(0)])
             unigram = (c + ADDED) / (n_tokens + ADDED * (n_words + 1))
-            base = np.log10(unigram)[b.tokens]
+            add = lambda x: np.add.reduceat(x, b.starts)
+            out["doc_id"].append(b.docs)
+            out["held_out"].append(b.held)
+            out["n_tokens"].append(b.ends - b.starts)
+            out["n_known"].append(add((c > 0)[b.tokens].astype(np.int64)))
+            out["base_score"].append(add(np.log10(unigram)[b.tokens]))
             p, after = b.pairs(listed, shards, only_listed), np.ones(len(b.words) + 1)
             data = [_unpacked_answer(x) for x in answers_of(1)]
             quanta, mass = (np.concatenate(x) for x in zip(*data)) if data else (np.zeros(0, np.uint16), np.zeros(0))
+            del data
             after[p.number] = np.maximum(1 - mass, 1e-12)
             every = np.append(START, b.words)
             at = np.minimum(np.searchsorted(listed, every), len(listed) - 1)
             after = np.where(listed[at] == every, left.value[at], after)
-            full = after[b.before()] * unigram[b.tokens]
+            full = after[b.before()]
+            full *= unigram[b.tokens]
             quanta = quanta.astype(np.int64) - FIRST
             share = np.where(quanta >= 0, 10.0 ** (-quanta / STEP), 0.0)
             full[p.used] += share[p.place]
-            add = lambda x: np.add.reduceat(x, b.starts)
-            out["doc_id"].append(b.docs)
-            out["held_out"].append(b.held)
-            out["n_tokens"].append(b.ends - b.starts)
-            out["n_known"].append(add((c > 0)[b.tokens].astype(np.int64)))
-            out["base_score"].append(add(base))
-            out["score"].append(add(np.log10(full)))
+            out["score"].append(add(np.log10(full, out=full)))
         return pa.table({k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()})
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -126,3 +127,25 @@ def test_pairs_and_masses_travel_whole_and_small():
     packed = M._packed_answer(found, mass)
     assert all(np.array_equal(a, b) for a, b in zip(M._unpacked_answer(packed), (found, mass)))
     assert len(packed) < 0.6 * len(M._packed(found, mass))
+
+
+def test_coding_holds_little_at_once():
+    a = np.random.default_rng(1).integers(0, 1 << 62, 1_000_000) % 700_001
+    values, place = np.unique(a, return_inverse=True)
+    found = M._coded(a)
+    assert (found[0] == values).all() and (found[1] == place.ravel()).all()
+    assert [len(x) for x in M._coded(a[:0])] == [0, 0]
+
+
+def test_a_block_of_pairs_takes_few_times_its_tokens():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(2, 1 << 63, 5000, dtype=np.uint64)
+    hashes = [pool[rng.integers(0, len(pool), 1000)] for _ in range(400)]
+    block = M.Block(M._block(0, list(range(400)), [False] * 400, hashes))
+    listed = np.array([M.START, M.END], np.int64)
+    tracemalloc.start()
+    try:
+        block.pairs(listed, 4, False)
+        assert tracemalloc.get_traced_memory()[1] < 72 * len(block.tokens)
+    finally:
+        tracemalloc.stop()
