@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import pytest
 import public_tokenizers as P
@@ -89,3 +90,21 @@ def test_every_token_goes_through_the_state_machine(merges, monkeypatch):
     ids = encoder.encode(text)
     assert decoder.decode(ids) == text
     assert {bytes(b) for b in map(decoder.bytes_of, ids)} and set(text.encode()) <= set(seen)
+
+
+def test_idle_workers_give_their_encoder_up(spark, merges, monkeypatch):
+    monkeypatch.setattr(bpe, "IDLE", 0.2)
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(40)], "doc_id long, text string").repartition(8)
+
+    def held(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(m.startswith("byte_bpe_") for m in sys.modules)]})
+
+    assert bpe.encode(docs, merges).count() == 40
+    bpe.encode(docs, merges).write.format("noop").mode("overwrite").save()
+    time.sleep(1.5)
+    assert [r["n"] for r in docs.mapInArrow(held, "n long").collect()] == [0] * 8
