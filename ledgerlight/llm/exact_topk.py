@@ -6,8 +6,9 @@ distance of two vectors is at least the sum over segments of length * ((mean
 difference)^2 + (deviation difference)^2), which gives an upper bound of their
 inner product: (|q|^2 + |x|^2 - distance^2) / 2. Bounds are taken coarse to fine;
 after each resolution a query drops the vectors whose bound is under its k-th best
-exact score so far, and exact scores are computed for the survivors. The result is
-exact: bounds have a margin for rounding, and nothing else drops a vector.
+exact score so far, of this shard or the task's shards before it, and exact scores are
+computed for the survivors. The result is exact: bounds have a margin for rounding, and
+nothing else drops a vector. Blocks of queries are compared with a shard at once.
 
 Defined results: vectors null, or with a component null or not finite, take no
 part; zero vectors do, and empty ones do not. Only vectors of equal length are
@@ -19,8 +20,6 @@ vec_id and embedding are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,37 +45,64 @@ def statistics(body: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([mean * np.sqrt(width), np.sqrt(spread)], axis=1)
 
 
-def _scores(block: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products of integers; beyond what doubles hold exactly, by Python's integers."""
-    if len(block) == 0 or np.abs(block).max() * np.abs(query).max() * len(query) < EXACT:
-        return (block @ query).astype(np.int64)
-    wide = [sum(int(a) * int(b) for a, b in zip(row, query)) for row in block]
+def _scores(block: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers, row by row; beyond what doubles hold exactly, by Python's integers."""
+    if len(block) == 0 or _exact(block, queries):
+        return np.einsum("nd,nd->n", block, queries).astype(np.int64)
+    wide = [sum(int(a) * int(b) for a, b in zip(row, query)) for row, query in zip(block, queries)]
     return np.array([min(max(s, -LONG), LONG - 1) for s in wide], np.int64)
 
 
-def search(ids: np.ndarray, body: np.ndarray, q_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per query of a block, its k best of a shard: query ids, vec_ids, scores."""
-    levels = [(statistics(body, r), statistics(queries, r)) for r in RESOLUTIONS]
-    longest = np.sqrt((body**2).sum(axis=1).max())
-    coarse = levels[0][1] @ levels[0][0].T
-    for i, q in enumerate(q_ids):
-        margin = 1e-6 + 1e-9 * longest * np.sqrt(queries[i] @ queries[i])
-        bound = coarse[i]
-        left = np.flatnonzero(ids != q)
-        bound = bound[left]
-        least = -np.inf
-        for level in range(len(levels)):
-            if len(left) <= k:
-                break
-            if level:
-                bound = levels[level][0][left] @ levels[level][1][i]
-            # The exact scores of the most promising set what the others must reach.
-            first = left[np.argpartition(-bound, k - 1)[:k]]
-            least = max(least, _scores(body[first], queries[i]).min())
-            left = left[~(bound < least - margin)]  # a bound too large to tell keeps its vector
-        score = _scores(body[left], queries[i])
-        top = np.lexsort((ids[left], -score))[:k]
-        yield np.full(len(top), q), ids[left[top]], score[top]
+def _exact(block: np.ndarray, queries: np.ndarray) -> bool:
+    return np.abs(block).max() * np.abs(queries).max() * block.shape[1] < EXACT
+
+
+class Shard:
+    """A shard's vectors with their statistics."""
+
+    def __init__(self, ids: np.ndarray, body: np.ndarray):
+        self.ids, self.body = ids, body
+        self.levels = [statistics(body, r) for r in RESOLUTIONS]
+        self.longest = np.sqrt((body**2).sum(axis=1).max())
+
+
+def search(shard: Shard, q_ids: np.ndarray, queries: np.ndarray, best: V.Best) -> None:
+    """Add a shard's best to those of a block of queries."""
+    k, ids, body = best.k, shard.ids, shard.body
+    margin = 1e-6 + 1e-9 * shard.longest * np.sqrt((queries**2).sum(axis=1))
+    least = np.full(len(q_ids), -np.inf)
+    full, score = best.last()
+    least[full] = score
+    left, columns = None, np.arange(len(ids))
+    for level, resolution in zip(shard.levels, RESOLUTIONS):
+        bound = statistics(queries, resolution) @ level[columns].T
+        if left is None:
+            left = ids != q_ids[:, None]
+            # For queries without results the exact scores of the most promising set what the others must reach.
+            new = np.flatnonzero(np.isinf(least) & (left.sum(axis=1) > k))
+            if len(new):
+                first = np.argpartition(np.where(left[new], -bound[new], np.inf), k - 1, axis=1)[:, :k]
+                exact = _scores(body[first.ravel()], np.repeat(queries[new], k, axis=0)).reshape(-1, k)
+                least[new] = np.where(np.take_along_axis(left[new], first, axis=1).all(axis=1), exact.min(axis=1), -np.inf)
+            # Scores cut to a long's least are equal, whatever their bounds.
+            least[least <= -LONG] = -np.inf
+        left &= ~(bound < (least - margin)[:, None])  # a bound too large to tell keeps its vector
+        some = left.any(axis=0)
+        if not some.any():
+            return
+        if not some.all():
+            columns, left = columns[some], left[:, some]
+    chosen = body[columns]
+    if not _exact(chosen, queries):
+        at, column = np.nonzero(left)
+        best.add(at, ids[columns[column]], _scores(chosen[column], queries[at]))
+        return
+    score = queries @ chosen.T
+    score[~left] = -np.inf
+    if len(new) and len(columns) > k:
+        least[new] = np.maximum(least[new], np.partition(score[new], -k, axis=1)[:, -k])
+    at, column = np.nonzero(left & (score >= least[:, None]))
+    best.add(at, ids[columns[column]], score[at, column].astype(np.int64))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256.0) -> DataFrame:
@@ -87,14 +113,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 256.0)
         whole = lambda x: F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(F.greatest(F.least(x, F.lit(LARGEST)), F.lit(-LARGEST)))
         return V.usable(df, zero=True).select("vec_id", F.transform("embedding", lambda x: whole(x * scale)).alias("embedding"))
 
-    index, shards = V.pack(scaled(vectors), PER_SHARD)
-
-    def run(row: dict, q_ids: np.ndarray, block: np.ndarray):
-        ids, body = V.unpack(row["ids"], row["body"])
-        yield from search(ids, body, q_ids, block, k)
-
-    found = V.ask(index, shards, scaled(queries), PER_BLOCK, run, "long")
-    return V.best(found, k, F.desc("score"))
+    index, _ = V.pack(scaled(vectors), PER_SHARD)
+    load = lambda row: Shard(*V.unpack(row["ids"], row["body"], row["dim"]))
+    return V.best(V.ask(index, scaled(queries), PER_BLOCK, k, load, search, falling=True), k, F.desc("score"))
 
 
 def report(embeddings: DataFrame) -> DataFrame:

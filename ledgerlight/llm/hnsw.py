@@ -193,19 +193,19 @@ def nearest(graph: Graph, queries: np.ndarray, width: int) -> np.ndarray:
     return start
 
 
-def index(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """The graphs of the shards, a row each, and their number.
+def index(vectors: DataFrame) -> DataFrame:
+    """The graphs of the shards, a row each.
 
     ``ids`` are the shard's vec_ids node by node, ``copies`` how many a node has,
     ``body`` the nodes' vectors, ``links`` the layers' flat neighbour arrays one
     after the other, ``sizes`` how many nodes each layer has.
     """
-    packed, shards = V.pack(V.usable(vectors, zero=False), PER_SHARD)
+    packed, _ = V.pack(V.usable(vectors, zero=False), PER_SHARD)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, body = V.unpack(batch.column("ids")[i].as_py(), batch.column("body")[i].as_py())
+                ids, body = V.unpack(batch.column("ids")[i].as_py(), batch.column("body")[i].as_py(), batch.column("dim")[i].as_py())
                 distinct, node = np.unique(body + 0.0, axis=0, return_inverse=True)
                 graph, order = build(distinct)
                 place = np.empty(len(order), int)
@@ -217,7 +217,7 @@ def index(vectors: DataFrame) -> tuple[DataFrame, int]:
                     "shard": batch.column("shard")[i].as_py(),
                     "ids": ids[by_node].tobytes(),
                     "copies": np.bincount(node, minlength=len(order)).astype(np.int64).tobytes(),
-                    "body": graph.points.tobytes(),
+                    "body": V.squeezed(graph.points),
                     "links": b"".join(layer.astype(np.int32).tobytes() for layer in graph.layers),
                     "sizes": [len(layer) for layer in graph.layers],
                 }
@@ -227,7 +227,7 @@ def index(vectors: DataFrame) -> tuple[DataFrame, int]:
         [("dim", pa.int32()), ("shard", pa.int32()), ("ids", pa.binary()), ("copies", pa.binary()), ("body", pa.binary()), ("links", pa.binary()), ("sizes", pa.list_(pa.int32()))]
     )
     schema = "dim int, shard int, ids binary, copies binary, body binary, links binary, sizes array<int>"
-    return packed.mapInArrow(run, schema), shards
+    return packed.mapInArrow(run, schema)
 
 
 def _graph(row: dict) -> Graph:
@@ -236,20 +236,21 @@ def _graph(row: dict) -> Graph:
         width = LINKS * (2 if l == 0 else 1)
         layers.append(flat[at : at + size * width].reshape(size, width).astype(int))
         at += size * width
-    points = np.frombuffer(row["body"], np.float64).reshape(row["sizes"][0], -1)
+    points = V.unsqueezed(row["body"], row["sizes"][0], row["dim"])
     return Graph(points, layers)
 
 
 def neighbours(vectors: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found, by Euclidean distance, without itself."""
-    graphs, shards = index(vectors)
+    def load(row: dict) -> tuple[Graph, np.ndarray, np.ndarray]:
+        return _graph(row), np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int64)
 
-    def run(row: dict, q_ids: np.ndarray, block: np.ndarray):
-        graph = _graph(row)
-        ids, copies = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["copies"], np.int64)
+    def search(shard: tuple[Graph, np.ndarray, np.ndarray], q_ids: np.ndarray, block: np.ndarray, best: V.Best) -> None:
+        graph, ids, copies = shard
         begin = np.cumsum(copies) - copies
         found = nearest(graph, block, min(max(beam, k + 1), len(graph.points)))
-        for q_id, q, nodes in zip(q_ids, block, found):
+        at, held, score = [], [], []
+        for i, (q_id, q, nodes) in enumerate(zip(q_ids, block, found)):
             nodes = nodes[nodes >= 0]
             exact = np.sqrt(((graph.points[nodes] - q) ** 2).sum(axis=1))
             first = np.argsort(exact, kind="stable")[: k + 1] if len(nodes) <= k + 1 else np.flatnonzero(exact <= np.partition(exact, k)[k])
@@ -259,9 +260,12 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int, beam: int = SEARC
             some = np.concatenate(some)
             far, some = far[some != q_id], some[some != q_id]
             top = np.lexsort((some, far))[:k]
-            yield np.full(len(top), q_id), some[top], far[top]
+            at.append(np.full(len(top), i))
+            held.append(some[top])
+            score.append(far[top])
+        best.add(*(np.concatenate(x) for x in (at, held, score)))
 
-    found = V.ask(graphs, shards, V.usable(queries, zero=False), PER_BLOCK, run, "double")
+    found = V.ask(index(vectors), V.usable(queries, zero=False), PER_BLOCK, k, load, search)
     return V.best(found, k, F.asc("score"))
 
 

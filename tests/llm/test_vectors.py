@@ -9,7 +9,7 @@ import numpy as np
 import parity
 import pytest
 
-from ledgerlight.llm import exact_topk, hnsw, registry
+from ledgerlight.llm import exact_topk, hnsw, registry, vectors
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "vec_id long, embedding array<float>, score string"
@@ -97,3 +97,33 @@ def test_empty_tables(spark):
 def test_parity(spark):
     name = "op8_exact_top_k"
     assert parity.compare(registry.queries()[name](spark, SF_DIR), parity.connect(SF_DIR), registry.oracle_sql()[name])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("module", [exact_topk, hnsw])
+def test_pairs_of_shards_and_blocks_are_not_shuffled(spark, monkeypatch, module):
+    monkeypatch.setattr(module, "PER_SHARD", 20)
+    monkeypatch.setattr(module, "PER_BLOCK", 2)
+    plan = plan_of(module.report(spark.createDataFrame(rows(3), SCHEMA)))
+    above, _, below = plan.partition("CartesianProduct")
+    # what the searches found is dealt out by query, and what they read lies in storage
+    assert below and "Exchange" not in below and above.count("Exchange hash") == 1
+
+
+def test_many_shards_share_tasks(spark):
+    df = vectors.usable(spark.createDataFrame(rows(4), SCHEMA), True)
+    packed, shards = vectors.pack(df, 1)
+    assert shards > 300 and packed.rdd.getNumPartitions() <= max(4 * spark.sparkContext.defaultParallelism, shards // 8 + 1)
+
+
+def test_parts_of_the_queries_give_the_same(spark, monkeypatch):
+    table = spark.createDataFrame(rows(5), SCHEMA)
+    whole = sorted(map(tuple, exact_topk.report(table).collect()))
+    monkeypatch.setattr(exact_topk, "PER_BLOCK", 1)
+    monkeypatch.setattr(exact_topk, "PER_SHARD", 7)
+    monkeypatch.setattr(vectors, "HELD", 50)
+    monkeypatch.setattr(vectors, "TASKS", 1)
+    assert sorted(map(tuple, exact_topk.report(table).collect())) == whole
