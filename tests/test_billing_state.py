@@ -96,3 +96,27 @@ def test_runs_stored_period_by_period(spark, tmp_path):
     check(spark, state, df, dt.date(2024, 3, 15))
     B.run(spark, state, df, dt.date(2024, 6, 15), 2, AT)
     check(spark, state, df, dt.date(2024, 6, 15))
+
+
+def test_subscriptions_meet_their_marks_once(spark, tmp_path, monkeypatch):
+    state, read = str(tmp_path / "state"), []
+    real = keyed.read
+    monkeypatch.setattr(keyed, "read", lambda *a: read.append(a) or real(*a))
+    merged = []
+    merge = keyed.merge
+    monkeypatch.setattr(keyed, "merge", lambda spark, t, batch, *a: merged.append(batch) or merge(spark, t, batch, *a))
+    one = subs(spark, ("a", "2024-01-01", None), ("b", "2024-01-15", None), ("b", "2024-01-15", "2024-01-20"), ("c", "2024-05-01", None))
+    B.run(spark, state, one.dropDuplicates(["id"]), dt.date(2024, 2, 1), 1, AT, buckets=2)
+    two = subs(spark, ("a", "2024-01-01", None), ("b", "2024-01-15", "2024-01-15"), ("c", "2024-05-01", None))
+    B.run(spark, state, two, dt.date(2024, 6, 15), 2, AT)
+    # a first run has no marks to join with, and the rows for the marks are those that are stored
+    assert len(read) == 1
+    assert all("Join" not in b._jdf.queryExecution().executedPlan().toString() for b in merged)
+    assert check(spark, state, two, dt.date(2024, 6, 15)) == 8
+    assert sorted(map(tuple, real(spark, B.marks_table(state)).select("id", "issued").collect())) == [("a", 6), ("b", 0), ("c", 2)]
+
+
+def test_periods_in_force_need_one_exchange(spark, tmp_path):
+    state = str(tmp_path / "state")
+    B.run(spark, state, subs(spark, ("a", "2024-01-01", None)), dt.date(2024, 2, 1), 1, AT, buckets=2)
+    assert B.in_force(spark, state)._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1
